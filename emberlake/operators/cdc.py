@@ -65,7 +65,7 @@ def classify(
 
 def known_hashes(
     current: DataFrame, previous: DataFrame, key: str = "natural_key",
-    hash_col: str = "record_hash",
+    hash_col: str = "record_hash", seq: str = "_seq",
 ) -> tuple[DataFrame, DataFrame]:
     """Split a batch into (rows to classify, rows of a new key whose content is already stored).
 
@@ -77,7 +77,7 @@ def known_hashes(
     repeated = current.join(stored_keys, key, "left_anti").join(
         stored_hashes, hash_col, "left_semi"
     )
-    return current.join(repeated.select(key).distinct(), key, "left_anti"), repeated
+    return current.join(repeated.select(key, seq), [key, seq], "left_anti"), repeated
 
 
 def keep_one(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:
