@@ -151,8 +151,8 @@ def _days(t: Tables, countries: Sequence[str], years: Years) -> DataFrame:
         .groupBy("pais_codigo", "fecha")
         .agg(
             F.sum("_n").alias("focos"),
-            M._mean("pm25", 6).alias("pm25"),
-            M._mean("pm10", 6).alias("pm10"),
+            M._mean("pm25", 12).alias("pm25"),
+            M._mean("pm10", 12).alias("pm10"),
         )
     )
 
@@ -166,9 +166,9 @@ def activity_levels(
     limits = days.groupBy("pais_codigo").agg(F.percentile("focos", quantile).alias("_limit"))
 
     def mean(name: str) -> Column:
-        total = F.sum(F.col(name).cast("decimal(20,6)"))
+        total = F.sum(F.col(name).cast("decimal(20,12)"))
         return F.round(
-            F.try_divide(total.cast("decimal(26,6)"), F.count(name).cast("decimal(10,0)")), 2
+            F.try_divide(total.cast("decimal(26,12)"), F.count(name).cast("decimal(10,0)")), 2
         )
 
     return (
