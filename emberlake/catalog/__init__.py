@@ -1,0 +1,21 @@
+"""Queries registered over the given tables."""
+
+from __future__ import annotations
+
+
+def _load() -> None:
+    from emberlake.catalog import queries_core, queries_reports  # noqa: F401
+
+
+def queries() -> dict:
+    from emberlake.catalog import registry
+
+    _load()
+    return dict(registry.QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    from emberlake.catalog import registry
+
+    _load()
+    return dict(registry.SQL)

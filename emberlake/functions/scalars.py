@@ -29,7 +29,7 @@ def quoted(name: str) -> str:
 def nan_to_null(df: DataFrame, name: str) -> Column:
     column = F.col(quoted(name))
     if isinstance(type_of(df, name), (T.DoubleType, T.FloatType)):
-        return F.when(~F.isnan(column), column)
+        return F.nanvl(column, F.lit(None).cast("double"))
     return column
 
 
@@ -48,11 +48,25 @@ def first_present(df: DataFrame, *names: str) -> Column:
     return F.coalesce(*columns)
 
 
+# The builders below mention their input once wherever they can. Spark inlines projections into
+# pushed filters, and an input mentioned twice at each of several levels grows exponentially.
+
 def try_number(column: Column) -> Column:
-    """Double, or null when the text is not a number (Java type suffixes are not numbers)."""
-    text = column.cast("string")
-    number = column.try_cast("double")
-    return F.when(~F.isnan(number) & ~text.rlike("[dDfF]\\s*$"), number)
+    """Double, or null when the text is not a number.
+
+    A trailing d or f is a Java type suffix, not part of a number; it is made unreadable first.
+    """
+    text = F.regexp_replace(column.cast("string"), "[dDfF]\\s*$", "x")
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+
+
+def number_of(df: DataFrame, *names: str) -> Column:
+    """First present of ``names`` as a double; typed numeric columns skip text parsing."""
+    found = [type_of(df, name) for name in names if name in df.columns]
+    column = first_present(df, *names)
+    if found and all(isinstance(kind, T.NumericType) for kind in found):
+        return column.cast("double")
+    return try_number(column)
 
 
 def try_utc(column: Column) -> Column:
@@ -88,22 +102,25 @@ def resolve_country(value: Column, aliases: Mapping = K.COUNTRY_ALIASES) -> Colu
 
 
 def country_of(df: DataFrame, source: str) -> Column:
-    """Country code of each raw row: explicit column, alias, else the place name."""
+    """Country code of each raw row: explicit column, alias, else the place name.
+
+    A spelling that is neither a code nor an alias gives empty text, which is out of scope.
+    """
     raw = F.upper(
         F.coalesce(first_present(df, *K.COLUMN_ALIASES["pais_codigo"]).cast("string"), F.lit(""))
     )
+    known = {**{code: code for code in K.COUNTRIES}, **K.COUNTRY_ALIASES}
     if source == "INUMET":
-        raw = F.when(raw == "", "URY").otherwise(raw)
-    code = resolve_country(raw)
+        return F.coalesce(lookup({**known, "": "URY"}, raw), F.lit(""))
     by_place = lookup(K.PLACE_COUNTRY, place_key(place_of(df)))
-    return F.when(code != "", code).otherwise(F.coalesce(by_place, F.lit("")))
+    return F.coalesce(lookup(known, raw), F.when(raw == "", by_place), F.lit(""))
 
 
 def coordinate_of(df: DataFrame, which: str) -> Column:
     """Explicit coordinate, else that of the named place."""
     table = K.PLACE_LATITUDE if which == "latitud" else K.PLACE_LONGITUDE
     return F.coalesce(
-        try_number(first_present(df, *K.COLUMN_ALIASES[which])),
+        number_of(df, *K.COLUMN_ALIASES[which]),
         lookup(table, place_key(place_of(df))),
     )
 

@@ -72,7 +72,7 @@ def _text(df: DataFrame, name: str) -> Column:
 
 
 def _number(df: DataFrame, name: str) -> Column:
-    return S.try_number(_pick(df, name))
+    return S.number_of(df, *K.COLUMN_ALIASES[name])
 
 
 def _outside(column: Column, low: float, high: float) -> Column:
