@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from emberlake import constants as K
-from emberlake.catalog.oracle import SCOPE, avg, pct
+from emberlake.catalog.oracle import SCOPE, avg, mean, pct
 from emberlake.catalog.registry import add
 from emberlake.functions import scalars as S
 from emberlake.operators import documents as D
 from emberlake.operators import prepare as P
-from emberlake.operators.cdc import insert_if_absent
 from emberlake.plans import marts as M
 from emberlake.plans import questions as Q
 from emberlake.plans import quality as V
-from emberlake.plans.pipeline import RunOptions, Warehouse
 from emberlake.sources import readers as IO
-from emberlake.streaming import incremental
 
 # --- marts ------------------------------------------------------------------------------------
 
@@ -49,15 +46,9 @@ add("s29_saved_summary", lambda d: d._keep(M.fires_by_country_month({"fact": d.f
 _YEARS = "anio BETWEEN 2018 AND 2025"
 
 
-def _exact_mean_of(total, count, digits):
-    from emberlake.catalog.oracle import mean
-
-    return mean(total, count, digits)
-
-
 add("q01_country_summary", lambda d: Q.country_summary({"fact": d.fact}),
     f"""SELECT pais_codigo, pais_nombre, SUM(focos) AS focos, SUM(frp_total_mw) AS frp_total_mw,
-        {_exact_mean_of("SUM(frp_total_mw)", "SUM(focos)", 6)} AS frp_promedio_mw, COUNT(DISTINCT (anio, mes)) AS meses
+        {mean("SUM(frp_total_mw)", "SUM(focos)", 6)} AS frp_promedio_mw, COUNT(DISTINCT (anio, mes)) AS meses
         FROM m01 WHERE {_YEARS} GROUP BY 1, 2""",
     pais_codigo="s", pais_nombre="s", focos="i", frp_total_mw="f", frp_promedio_mw="f", meses="i")
 add("q02_air_coverage_kpi", lambda d: Q.air_coverage_kpi(d.tables("fact", "dim_air")),
@@ -67,14 +58,14 @@ add("q03_monthly_series", lambda d: Q.monthly_series({"fact": d.fact}),
     f"SELECT *, make_date(anio, mes, 1) AS periodo FROM m01 WHERE {_YEARS}", periodo="s", **_M01)
 add("q04_yearly_rollup", lambda d: Q.yearly_rollup({"fact": d.fact}),
     f"""SELECT pais_codigo, pais_nombre, anio, SUM(focos) AS focos,
-        {_exact_mean_of("SUM(CAST(frp_promedio_mw AS DECIMAL(18,3)))", "COUNT(frp_promedio_mw)", 6)} AS frp_promedio_mw
+        {mean("SUM(CAST(frp_promedio_mw AS DECIMAL(18,3)))", "COUNT(frp_promedio_mw)", 6)} AS frp_promedio_mw
         FROM m01 WHERE {_YEARS} GROUP BY 1, 2, 3""", pais_codigo="s", pais_nombre="s", anio="i", focos="i", frp_promedio_mw="f")
 add("q05_daily_temperature", lambda d: Q.daily_temperature(d.tables("fact", "dim_weather")),
     "SELECT * FROM m05 WHERE pais_codigo = 'URY' AND year(fecha) BETWEEN 2018 AND 2025 AND temperatura_media_c IS NOT NULL", **_M05)
 _BAND = "CASE WHEN humedad_media_pct < 40 THEN 'Baja (<40%)' WHEN humedad_media_pct <= 70 THEN 'Media (40%-70%)' ELSE 'Alta (>70%)' END"
 add("q06_humidity_bands", lambda d: Q.humidity_bands(d.tables("fact", "dim_weather")),
     f"""SELECT pais_codigo, {_BAND} AS rango_humedad, SUM(focos) AS cantidad_focos,
-        {_exact_mean_of("SUM(CAST(frp_promedio_mw AS DECIMAL(18,3)))", "COUNT(frp_promedio_mw)", 2)} AS frp_promedio_mw
+        {mean("SUM(CAST(frp_promedio_mw AS DECIMAL(18,3)))", "COUNT(frp_promedio_mw)", 2)} AS frp_promedio_mw
         FROM m05 WHERE humedad_media_pct IS NOT NULL AND year(fecha) BETWEEN 2018 AND 2025 GROUP BY 1, 2""",
     pais_codigo="s", rango_humedad="s", cantidad_focos="i", frp_promedio_mw="f")
 add("q07_monthly_rain", lambda d: Q.monthly_rain(d.tables("fact", "dim_rain")),
@@ -120,7 +111,7 @@ add("q16_fires_per_year", lambda d: Q.fires_per_year({"fact": d.fact}),
     f"SELECT anio, COUNT(*) AS focos, {avg('frp_mw', 3)} AS frp_promedio_mw FROM fact GROUP BY 1", anio="i", focos="i", frp_promedio_mw="f")
 add("q17_fires_per_country", lambda d: Q.fires_per_country({"fact": d.fact}),
     f"""SELECT pais_codigo, pais_nombre, SUM(focos) AS focos,
-        {_exact_mean_of("SUM(CAST(frp_promedio_mw AS DECIMAL(18,3)))", "COUNT(frp_promedio_mw)", 3)} AS frp_promedio_mw FROM m01 GROUP BY 1, 2""",
+        {mean("SUM(CAST(frp_promedio_mw AS DECIMAL(18,3)))", "COUNT(frp_promedio_mw)", 3)} AS frp_promedio_mw FROM m01 GROUP BY 1, 2""",
     pais_codigo="s", pais_nombre="s", focos="i", frp_promedio_mw="f")
 add("q18_global_power", lambda d: Q.global_power({"fact": d.fact}),
     f"SELECT COUNT(*) AS focos, {avg('frp_mw', 3)} AS frp_promedio_mw, SUM(frp_mw) AS frp_total_mw FROM fact",
