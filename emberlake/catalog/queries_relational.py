@@ -45,10 +45,11 @@ add("j05_conditional_left",
     "SELECT fuente, fuente = 'INUMET' AS con_estacion, COUNT(*) AS lecturas FROM dim_weather GROUP BY 1, 2",
     fuente="s", con_estacion="i", lecturas="i")
 add("j09_anti_null_test",
-    lambda d: d.given("customer").join(d.given("orders").select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti")
-    .groupBy("c_mktsegment").agg(F.count("*").alias("clientes")),
-    """SELECT c_mktsegment, COUNT(*) AS clientes FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) o ON o_custkey = c_custkey
-       WHERE o_custkey IS NULL GROUP BY 1""", c_mktsegment="s", clientes="i")
+    lambda d: d.given("orders").join(
+        d.given("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
+    .groupBy("o_orderpriority").agg(F.count("*").alias("pedidos")),
+    """SELECT o_orderpriority, COUNT(*) AS pedidos FROM orders LEFT JOIN (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_returnflag = 'R') l
+       ON l_orderkey = o_orderkey WHERE l_orderkey IS NULL GROUP BY 1""", o_orderpriority="s", pedidos="i")
 add("j10_semi_exists",
     lambda d: d.given("orders").join(
         d.given("lineitem").where("l_returnflag = 'R' AND l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_semi")
@@ -94,7 +95,7 @@ add("j14_update_from_join",
 add("j15_climatology",
     lambda d: P.climatology(d.raw("raw_rain").withColumn("mes", F.month(F.to_date("fecha"))), ["punto", "pais_codigo", "mes"], "precipitacion_mm")
     .withColumn("media", F.round("media_historica", 6)),
-    """SELECT punto, pais_codigo, month(CAST(fecha AS DATE)) AS mes, ROUND(AVG(precipitacion_mm), 6) AS media FROM raw_rain GROUP BY 1, 2, 3""",
+    """SELECT punto, pais_codigo, month(CAST(fecha AS DATE)) AS mes, ROUND(CAST(SUM(CAST(precipitacion_mm AS DECIMAL(18,6))) AS DOUBLE) / COUNT(precipitacion_mm), 6) AS media FROM raw_rain GROUP BY 1, 2, 3""",
     punto="s", pais_codigo="s", mes="i", media="f")
 
 # --- aggregates -------------------------------------------------------------------------------

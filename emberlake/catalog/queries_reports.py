@@ -434,7 +434,7 @@ add("t06_rain_anomaly",
     lambda d: P.derive_rain(d.raw("raw_rain"), d.raw("raw_rain")).withColumn("anomalia", F.round("anomalia_ratio", 6)),
     """SELECT r._seq, r.anio, r.mes, strftime(r.f, '%Y-%m') AS anio_mes, CASE WHEN m.media <> 0 THEN ROUND((r.precipitacion_mm - m.media) / m.media, 6) END AS anomalia,
        COALESCE(r.precipitacion_mm < m.media, FALSE) AS deficit_hidrico FROM (SELECT *, CAST(fecha AS DATE) AS f, year(CAST(fecha AS DATE)) AS anio, month(CAST(fecha AS DATE)) AS mes FROM raw_rain) r
-       LEFT JOIN (SELECT punto, pais_codigo, month(CAST(fecha AS DATE)) AS mes, AVG(precipitacion_mm) AS media FROM raw_rain GROUP BY 1, 2, 3) m
+       LEFT JOIN (SELECT punto, pais_codigo, month(CAST(fecha AS DATE)) AS mes, CAST(SUM(CAST(precipitacion_mm AS DECIMAL(18,6))) AS DOUBLE) / COUNT(precipitacion_mm) AS media FROM raw_rain GROUP BY 1, 2, 3) m
        ON m.punto IS NOT DISTINCT FROM r.punto AND m.pais_codigo IS NOT DISTINCT FROM r.pais_codigo AND m.mes IS NOT DISTINCT FROM r.mes""",
     _seq="i", anio="i", mes="i", anio_mes="s", anomalia="f", deficit_hidrico="i")
 add("t07_merge_rain",

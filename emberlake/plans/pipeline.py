@@ -100,12 +100,12 @@ class Warehouse:
             F.lit(run_id).alias("run_id"), "fuente", "motivo", "registro",
             F.current_timestamp().alias("rechazado_en")), "rechazos_etl")
         t.append(events.withColumn("registrado_en", F.current_timestamp()), "cdc_eventos")
-        counters = C.run_counters(events)
-        counts = counters.first().asDict()
+        counts = C.run_counters(events).first().asDict()
+        latest = C.latest_date(accepted).first()[0]
         t.append(
             run_row(
-                self.spark, run_id, source, "load", "ok", counters, C.latest_date(accepted),
-                F.timestamp_seconds(F.lit(started)), seconds=round(time.time() - started, 3),
+                self.spark, run_id, source, "load", "ok", counts, latest,
+                F.timestamp_seconds(F.lit(started)), round(time.time() - started, 3),
             ),
             "etl_runs",
         )

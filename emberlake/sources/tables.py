@@ -40,8 +40,9 @@ class Tables:
 
     def replace(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
         """Write beside, then overwrite: the result may be computed from the table itself."""
-        staged = self.stage(df, name)
-        write_table(staged, self.path(name), "overwrite", partition_by)
+        if self.read(name) is not None:
+            df = self.stage(df, name)
+        write_table(df, self.path(name), "overwrite", partition_by)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise in the warehouse's scratch area; later steps read files, so a lost
@@ -55,7 +56,7 @@ class Tables:
     ) -> None:
         """Overwrite only the partitions present in ``df``. Each partition value is written by
         up to ``files`` tasks, so a year holding most rows does not fall on one writer."""
-        staged = self.stage(df, name)
+        staged = df if self.read(name) is None else self.stage(df, name)
         spread = F.pmod(F.xxhash64(spread_by), F.lit(files))
         (
             staged.repartition(*[F.col(c) for c in partition_by], spread)
@@ -91,23 +92,24 @@ def write_with_backup(tables: Tables, df: DataFrame, name: str, backup: str) ->
     tables.replace(df, name)
 
 
+RUN_SCHEMA = (
+    "run_id string, fuente string, etapa string, estado string, ultima_fecha_procesada date, "
+    "filas_leidas bigint, filas_insertadas bigint, filas_actualizadas bigint, "
+    "filas_rechazadas bigint, duracion_segundos double, detalle string"
+)
+
+
 def run_row(
-    spark: SparkSession, run_id: str, source: str, stage: str, state: str, counters: DataFrame,
-    latest: DataFrame, started: Column, detail: str = "{}", seconds: float | None = None,
+    spark: SparkSession, run_id: str, source: str, stage: str, state: str, counts: dict, latest,
+    started: Column, seconds: float, detail: str = "{}",
 ) -> DataFrame:
-    """Audit row of a finished run; counters and latest date are one-row frames read as scalars."""
-    def number(name: str) -> Column:
-        return counters.select(name).scalar()
-
-    return spark.range(1).select(
-        F.lit(run_id).alias("run_id"), F.lit(source).alias("fuente"), F.lit(stage).alias("etapa"),
-        F.lit(state).alias("estado"), latest.scalar().alias("ultima_fecha_procesada"),
-        number("leidas").alias("filas_leidas"), number("insertadas").alias("filas_insertadas"),
-        number("actualizadas").alias("filas_actualizadas"),
-        number("rechazadas").alias("filas_rechazadas"),
-        F.lit(seconds).cast("decimal(12,3)").alias("duracion_segundos"),
-        started.alias("iniciado_en"), F.current_timestamp().alias("finalizado_en"),
-        F.lit(detail).alias("detalle"),
+    """Audit row of a finished run, from its counters."""
+    row = (
+        run_id, source, stage, state, latest, counts["leidas"], counts["insertadas"],
+        counts["actualizadas"], counts["rechazadas"], seconds, detail,
+    )
+    return spark.createDataFrame([row], RUN_SCHEMA).select(
+        "*", started.alias("iniciado_en"), F.current_timestamp().alias("finalizado_en")
     )
 
 
