@@ -133,118 +133,131 @@ def _attach(facts: DataFrame, links: DataFrame, keys: list[str], name: str) -> D
     return fresh.join(links, keys, "left")
 
 
-def link_period(
+def period_links(
     facts: DataFrame, readings: DataFrame, on: list[str], max_km: float, id_col: str, **tuning
 ) -> DataFrame:
-    """Nearest reading of the same country and period; equal distance: lower id.
-
-    Adds ``id_col`` and its distance; unmatched facts keep nulls.
-    """
-    name = id_col.removesuffix("_id")
+    """Nearest reading of the same country and period per (place, period); equal distance:
+    lower id."""
     points = readings.groupBy(
         "pais_codigo", *on,
         F.col("latitud").cast("double").alias("_plat"),
         F.col("longitud").cast("double").alias("_plon"),
     ).agg(F.min(id_col).alias(id_col))
-    links = nearest_points(
+    return nearest_points(
         _places(facts, on), points, on, max_km, [F.col(id_col)], **tuning
-    ).select("ubicacion_id", *on, id_col, F.col("_km").alias(f"{name}_km"))
-    return _attach(facts, links, ["ubicacion_id", *on], name)
+    ).select(
+        "ubicacion_id", *on, id_col, F.col("_km").alias(id_col.removesuffix("_id") + "_km")
+    )
 
 
-def link_weather(
-    facts: DataFrame,
+def weather_links(
+    timed: DataFrame,
     readings: DataFrame,
     max_km: dict[str, float] | None = None,
     **tuning,
 ) -> DataFrame:
-    """Weather of the same country and date: nearest point (stations first on equal distance,
-    then lower id), and at that point the reading closest in time (then lower id). A detection
-    without hour counts as noon."""
+    """Weather of the same country and date per (place, date, minute): nearest point (stations
+    first on equal distance, then lower id), and at that point the reading closest in time (then
+    lower id)."""
     max_km = max_km or {s: K.THRESHOLD_KM[s] for s in ("METEO", "INUMET")}
-    timed = facts.withColumn("_minute", S.minute_of_day(F.col("hora_adq_hhmm")))
     priority = F.coalesce(S.lookup(K.SOURCE_PRIORITY, F.col("fuente")), F.lit(2))
     nearest = nearest_points(
-        _places(facts, ["fecha"]), ambient_points(readings, ["fecha"], source=True), ["fecha"],
+        _places(timed, ["fecha"]), ambient_points(readings, ["fecha"], source=True), ["fecha"],
         max_km, [priority], ties=True, **tuning,
     ).select("ubicacion_id", "fecha", "fuente", "_point", F.col("_km").alias("clima_km"))
     asked = timed.select("ubicacion_id", "fecha", "_minute").distinct().join(
         nearest, ["ubicacion_id", "fecha"]
     )
     chosen = closest_in_time(asked, readings)
-    links = (
+    return (
         asked.join(chosen, ["_point", "fuente", "fecha", "_minute"])
         .groupBy("ubicacion_id", "fecha", "_minute")
         .agg(F.min("clima_id").alias("clima_id"), F.min("clima_km").alias("clima_km"))
     )
+
+
+PERIOD_LINKS = {
+    # link column: (period columns, threshold km)
+    "precipitacion_id": (["anio", "mes"], K.THRESHOLD_KM["CHIRPS"]),
+    "cobertura_id": (["anio"], K.THRESHOLD_KM["MODIS"]),
+    "calidad_aire_id": (["fecha"], K.THRESHOLD_KM["CAMS"]),
+}
+
+
+def _with_minute(facts: DataFrame) -> DataFrame:
+    """A detection without hour counts as noon."""
+    return facts.withColumn("_minute", S.minute_of_day(F.col("hora_adq_hhmm")))
+
+
+def link_weather(facts: DataFrame, readings: DataFrame, **tuning) -> DataFrame:
+    """Facts with their weather link and its distance; unmatched facts keep nulls."""
+    timed = _with_minute(facts)
+    links = weather_links(timed, readings, **tuning)
     return _attach(timed, links, ["ubicacion_id", "fecha", "_minute"], "clima").drop("_minute")
 
 
+def link_period(facts: DataFrame, readings: DataFrame, id_col: str, **tuning) -> DataFrame:
+    """Facts with one period link and its distance; unmatched facts keep nulls."""
+    on, max_km = PERIOD_LINKS[id_col]
+    links = period_links(facts, readings, on, max_km, id_col, **tuning)
+    return _attach(facts, links, ["ubicacion_id", *on], id_col.removesuffix("_id"))
+
+
 def closest_in_time(asked: DataFrame, readings: DataFrame) -> DataFrame:
     """Reading nearest to each asked minute of a (point, source, date), both directions.
 
     At most 1,440 minutes can be asked per group and readings are thinned to the first and last
-    of each minute with map-side aggregation, so a group is bounded whatever the input.
+    instant of each minute with map-side aggregation, so a group is bounded whatever the input.
+    Only instants travel: a reading's key is a function of its instant, source and place.
     """
     group = ["_point", "fuente", "fecha"]
-    questions = asked.select(*group, "_minute").distinct().withColumn(
-        "_t", F.unix_micros(F.col("fecha").cast("timestamp"))
-        + F.col("_minute").cast("long") * 60000000
+    questions = asked.select(*group, "_minute").distinct().select(
+        *group, "_minute",
+        (F.unix_date("fecha").cast("long") * 86400000000 + F.col("_minute").cast("long") * 60000000).alias("_t"),
+        F.lit(None).cast("long").alias("_reading"),
     )
-    stamp = F.struct(F.unix_micros("fecha_hora_utc").alias("t"), F.col("clima_id").alias("id"))
+    instant = F.unix_micros("fecha_hora_utc")
     thinned = (
-        readings.withColumnRenamed("ubicacion_id", "_point")
-        .groupBy(*group, F.floor(F.unix_micros("fecha_hora_utc") / 60000000).alias("_slot"))
-        .agg(F.min(stamp).alias("lo"), F.max(stamp).alias("hi"))
-        .select(*group, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("reading"))
+        readings.select(F.col("ubicacion_id").alias("_point"), "fuente", "fecha", instant.alias("_i"))
+        .groupBy(*group, F.floor(F.col("_i") / 60000000).alias("_slot"))
+        .agg(F.min("_i").alias("lo"), F.max("_i").alias("hi"))
+        .select(*group, F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_reading"))
     )
     line = thinned.select(
-        *group, F.lit(None).cast("int").alias("_minute"), F.col("reading.t").alias("_t"),
-        "reading",
-    ).unionByName(
-        questions.select(*group, "_minute", "_t").withColumn(
-            "reading", F.lit(None).cast("struct<t:bigint,id:decimal(38,0)>")
-        )
-    )
+        *group, F.lit(None).cast("int").alias("_minute"), F.col("_reading").alias("_t"), "_reading"
+    ).unionByName(questions)
     # Readings sort before a question at the same instant in one direction; in the other the
     # strictly later ones follow, and an equal instant was already seen.
     forward = Window.partitionBy(*group).orderBy(F.col("_t"), F.col("_minute").asc_nulls_first())
     backward = Window.partitionBy(*group).orderBy(
         F.col("_t").desc(), F.col("_minute").asc_nulls_first()
     )
-
-    def gap(reading: Column) -> Column:
-        return F.when(
-            reading.isNotNull(),
-            F.struct(F.abs(F.col("_t") - reading["t"]).alias("gap"), reading["id"].alias("id")),
-        )
-
+    before, after, t = F.col("_before"), F.col("_after"), F.col("_t")
+    # Equal gaps: the earlier instant has the lower key.
+    pick = F.when(after.isNull() | (t - before <= after - t), before).otherwise(after)
     return (
-        line.withColumn("_before", F.last("reading", ignorenulls=True).over(forward))
-        .withColumn("_after", F.last("reading", ignorenulls=True).over(backward))
+        line.withColumn("_before", F.last("_reading", ignorenulls=True).over(forward))
+        .withColumn("_after", F.last("_reading", ignorenulls=True).over(backward))
         .where(F.col("_minute").isNotNull())
-        .withColumn("_pick", F.least(gap(F.col("_before")), gap(F.col("_after"))))
+        .select(*group, "_minute", pick.alias("_pick"))
         .where(F.col("_pick").isNotNull())
-        .select(*group, "_minute", F.col("_pick.id").alias("clima_id"))
+        .select(
+            *group, "_minute",
+            G.reading_id(F.timestamp_micros("_pick"), F.col("fuente"), F.col("_point")).alias("clima_id"),
+        )
     )
 
 
 def link_rain(facts: DataFrame, dim_rain: DataFrame, **tuning) -> DataFrame:
-    return link_period(
-        facts, dim_rain, ["anio", "mes"], K.THRESHOLD_KM["CHIRPS"], "precipitacion_id", **tuning
-    )
+    return link_period(facts, dim_rain, "precipitacion_id", **tuning)
 
 
 def link_cover(facts: DataFrame, dim_cover: DataFrame, **tuning) -> DataFrame:
-    return link_period(
-        facts, dim_cover, ["anio"], K.THRESHOLD_KM["MODIS"], "cobertura_id", **tuning
-    )
+    return link_period(facts, dim_cover, "cobertura_id", **tuning)
 
 
 def link_air(facts: DataFrame, dim_air: DataFrame, **tuning) -> DataFrame:
-    return link_period(
-        facts, dim_air, ["fecha"], K.THRESHOLD_KM["CAMS"], "calidad_aire_id", **tuning
-    )
+    return link_period(facts, dim_air, "calidad_aire_id", **tuning)
 
 
 LINK_COLUMNS = ("clima_id", "precipitacion_id", "cobertura_id", "calidad_aire_id")
@@ -265,10 +278,21 @@ def link_all(
     facts: DataFrame, dim_weather: DataFrame, dim_rain: DataFrame, dim_cover: DataFrame,
     dim_air: DataFrame, **tuning,
 ) -> DataFrame:
-    linked = link_weather(facts, dim_weather, **tuning)
-    linked = link_rain(linked, dim_rain, **tuning)
-    linked = link_cover(linked, dim_cover, **tuning)
-    return link_air(linked, dim_air, **tuning)
+    """All four links. They depend on place and time only, so they are found and gathered on the
+    distinct narrow (place, date, minute) rows, and the wide facts are joined once."""
+    names = [c for n in LINK_COLUMNS for c in (n, n.removesuffix("_id") + "_km")]
+    timed = _with_minute(facts.drop(*names))
+    spots = timed.select(
+        "pais_codigo", "ubicacion_id", "latitud", "longitud", "fecha", "anio", "mes", "_minute"
+    ).distinct()
+    keys = ["ubicacion_id", "fecha", "_minute"]
+    gathered = spots.join(weather_links(spots, dim_weather, **tuning), keys, "left")
+    dims = {"precipitacion_id": dim_rain, "cobertura_id": dim_cover, "calidad_aire_id": dim_air}
+    for id_col, readings in dims.items():
+        on, max_km = PERIOD_LINKS[id_col]
+        links = period_links(spots, readings, on, max_km, id_col, **tuning)
+        gathered = gathered.join(links, ["ubicacion_id", *on], "left")
+    return timed.join(gathered.select(*keys, *names), keys, "left").drop("_minute")
 
 
 AUDITED = {

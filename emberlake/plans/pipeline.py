@@ -161,15 +161,18 @@ class Warehouse:
         """Recompute all links of the fact and append their audit; returns the audit rows."""
         t = self.tables
         fact = t.read("fact_incendio")
-        steps = (
-            ("dim_clima", A.link_weather), ("dim_precipitacion", A.link_rain),
-            ("dim_cobertura", A.link_cover), ("dim_calidad_aire", A.link_air),
+        weather, rain, cover, air = (
+            t.read(n) for n in ("dim_clima", "dim_precipitacion", "dim_cobertura", "dim_calidad_aire")
         )
-        linked = A.reset_links(fact)
-        for name, link in steps:
-            readings = t.read(name)
-            if readings is not None:
-                linked = link(linked, readings)
+        if None not in (weather, rain, cover, air):
+            linked = A.link_all(fact, weather, rain, cover, air)
+        else:
+            # A dimension that was never loaded leaves its link empty.
+            linked = A.reset_links(fact)
+            for readings, link in (
+                (weather, A.link_weather), (rain, A.link_rain), (cover, A.link_cover), (air, A.link_air),
+            ):
+                linked = linked if readings is None else link(linked, readings)
         t.replace(linked.select(*star.FACT_COLUMNS, *[
             c for n in A.LINK_COLUMNS for c in (n, n.removesuffix("_id") + "_km")]),
             "fact_incendio", ["anio"])
