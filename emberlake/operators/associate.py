@@ -21,9 +21,10 @@ from emberlake import constants as K
 from emberlake.functions import geo as G
 from emberlake.functions import scalars as S
 
-DENSE = 256  # points per cell above which a finer level is searched first
+DENSE = 64  # points in one cell above which a finer level is searched first
 FINEST_KM = 1.0
 BROADCAST_BYTES = 64 * 1024 * 1024
+SALTS = 8  # shares of one cell's places when both sides are shuffled
 ROW_BYTES = 160  # generous width of one reach row: a few numbers and a short text
 
 
@@ -43,15 +44,35 @@ def _reach(points: DataFrame, radius: Column, cells: int) -> DataFrame:
     )
 
 
-def _measure(reach: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """(rows, rows in the fullest cell) of a reach table: one aggregate, one row to the driver."""
-    row = (
-        reach.groupBy(*keys, "_row", "_col")
-        .count()
-        .agg(F.coalesce(F.sum("count"), F.lit(0)), F.coalesce(F.max("count"), F.lit(0)))
-        .first()
+def _measure(
+    points: DataFrame, limit: Column, radii: list[float], keys: list[str]
+) -> list[tuple[int, int]]:
+    """(reach rows, points in the fullest cell) per level radius.
+
+    One aggregation for all levels; the driver receives one row per level.
+    """
+    lat, lon = F.col("_plat"), F.col("_plon")
+    levels = []
+    for i, radius in enumerate(radii):
+        cells, reach = G.cells_around(radius), F.least(limit, F.lit(radius))
+        touched = F.size(G.reach_latitudes(lat, reach, cells)) * F.size(
+            G.reach_longitudes(lat, lon, reach, cells)
+        )
+        levels.append(
+            F.struct(
+                F.lit(i).alias("level"), G.latitude_cell(lat, cells).alias("row"),
+                G.longitude_cell(lon, cells).alias("col"), touched.cast("long").alias("reach"),
+            )
+        )
+    rows = (
+        points.select(*keys, F.explode(F.array(*levels)).alias("l"))
+        .groupBy(*keys, "l.level", "l.row", "l.col")
+        .agg(F.count("*").alias("n"), F.sum("l.reach").alias("reach"))
+        .groupBy("level").agg(F.sum("reach").alias("reach"), F.max("n").alias("n"))
+        .collect()
     )
-    return int(row[0]), int(row[1])
+    found = {r["level"]: (r["reach"], r["n"]) for r in rows}
+    return [found.get(i, (0, 0)) for i in range(len(radii))]
 
 
 def nearest_points(
@@ -73,16 +94,15 @@ def nearest_points(
     keys = ["pais_codigo", *on]
     limit = _threshold(max_km, points.columns)
     widest = max(max_km.values()) if isinstance(max_km, dict) else float(max_km)
-    # Level radii from coarse to fine: refine while the fullest cell is dense.
-    levels, radius = [], widest
-    while True:
-        cells = G.cells_around(radius)
-        reach_km = F.least(limit, F.lit(radius))
-        rows, fullest = _measure(_reach(points, reach_km, cells), keys)
-        levels.append((radius, cells, rows))
-        if fullest <= dense or radius / 4 < FINEST_KM:
+    radii = [widest]
+    while radii[-1] / 4 >= FINEST_KM:
+        radii.append(radii[-1] / 4)
+    # Coarse to fine, until the fullest cell is no longer dense.
+    levels = []
+    for radius, (rows, fullest) in zip(radii, _measure(points, limit, radii, keys)):
+        levels.append((radius, G.cells_around(radius), rows))
+        if fullest <= dense:
             break
-        radius /= 4
     pending = places.withColumn("_lat", F.col("latitud").cast("double")).withColumn(
         "_lon", F.col("longitud").cast("double")
     )
@@ -92,13 +112,21 @@ def nearest_points(
     found: list[DataFrame] = []
     for radius, cells, rows in reversed(levels):
         reach = _reach(points, F.least(limit, F.lit(radius)), cells)
+        met = [*keys, "_row", "_col"]
+        shares = F.lit(0)
         if rows * ROW_BYTES <= broadcast_bytes:
             reach = F.broadcast(reach)
-        at_cell = pending.withColumn("_row", G.latitude_cell(F.col("_lat"), cells)).withColumn(
+        else:
+            # A cell may hold a third of all places: its places are dealt over several tasks.
+            reach = reach.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+            shares = F.pmod(F.xxhash64("ubicacion_id"), F.lit(SALTS)).cast("int")
+            met.append("_salt")
+        at_cell = pending.withColumn("_salt", shares)
+        at_cell = at_cell.withColumn("_row", G.latitude_cell(F.col("_lat"), cells)).withColumn(
             "_col", G.longitude_cell(F.col("_lon"), cells)
         )
         near = (
-            at_cell.join(reach, [*keys, "_row", "_col"])
+            at_cell.join(reach, met)
             .withColumn(
                 "_km",
                 G.haversine_km(F.col("_lat"), F.col("_lon"), F.col("_plat"), F.col("_plon")),
@@ -106,7 +134,7 @@ def nearest_points(
             .where(F.col("_km") <= F.col("_radius"))
             .withColumn("_order", order.over(best))
             .where(F.col("_order") == 1)
-            .drop("_order", "_row", "_col", "_radius", "_lat", "_lon")
+            .drop("_order", "_row", "_col", "_salt", "_radius", "_lat", "_lon")
         )
         found.append(near)
         pending = pending.join(near.select(*identity), identity, "left_anti")

@@ -12,6 +12,7 @@ from emberlake.operators.cdc import keep_one
 BAND_DEGREES = 0.25
 BROADCAST_BYTES = 64 * 1024 * 1024
 EDGE_BYTES = 40
+SALTS = 64  # there are few bands, so without broadcast each one is dealt over many tasks
 
 
 def upsert_regions(existing: DataFrame | None, incoming: DataFrame, seq: str = "_seq") -> DataFrame:
@@ -61,15 +62,22 @@ def containing(
     """
     index = band_index(regions, keys, band)
     edges = index.agg(F.coalesce(F.sum(F.size("_edges")), F.lit(0))).first()[0]
-    if edges * EDGE_BYTES <= broadcast_bytes:
-        index = F.broadcast(index)
     x, y = F.col("longitud").cast("double"), F.col("latitud").cast("double")
     banded = points.withColumn("_band", F.floor(y / band).cast("int"))
+    met = [*on, "_band"]
+    if edges * EDGE_BYTES <= broadcast_bytes:
+        index = F.broadcast(index)
+    else:
+        index = index.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        banded = banded.withColumn(
+            "_salt", F.pmod(F.xxhash64("longitud", "latitud"), F.lit(SALTS)).cast("int")
+        )
+        met.append("_salt")
     return (
-        banded.join(index, [*on, "_band"])
+        banded.join(index, met)
         .where((x >= F.col("_west")) & (x < F.col("_east")))
         .where(G.crossings(x, y, F.col("_edges")) % 2 == 1)
-        .drop("_band", "_edges", "_west", "_east")
+        .drop("_band", "_salt", "_edges", "_west", "_east")
     )
 
 
