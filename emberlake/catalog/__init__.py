@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from emberlake.catalog import queries_core, queries_relational, queries_reports  # noqa: F401
+    from emberlake.catalog import queries_core, queries_forms, queries_relational, queries_reports  # noqa: F401
 
 
 def queries() -> dict:
