@@ -92,6 +92,10 @@ class Domain:
             self._landed.add(path)
         return path
 
+    def fresh(self, name: str) -> str:
+        """A new folder on every call, for queries that run a load."""
+        return f"{self.scratch}/{name}-{uuid.uuid4().hex}"
+
     @cached_property
     def _landed(self) -> set[str]:
         return set()
