@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -30,11 +31,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost
     executors, and gives every later reader the same rows."""
     spark = df.sparkSession
+    release(spark)
     place = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(place)
     return spark.read.schema(df.schema).parquet(place)
 
 
+def release(spark: SparkSession) -> None:
+    """Spark removes the shuffle files of a finished step once nothing refers to its plan and
+    the JVM has collected its garbage; on a large heap that may come long after."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

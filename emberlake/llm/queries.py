@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emberlake.llm import packing
+from emberlake.llm import packing, repeats
 from emberlake.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -23,7 +24,15 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, folder, "documents")).select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
 }
 SQL: dict[str, str] = {}
