@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import packing, repeats
+from emberlake.llm import packing, repeats, reputation, sharding, topk
 from emberlake.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -31,8 +31,28 @@ def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
+    pages = read_table(spark, folder, "pages")
+    return reputation.filter_urls(pages, reputation.page_outcome(F.col("html"))).select(
+        "page_id", "host", "path", "rule", "verdict", "bad_rate_bound")
+
+
+def op9_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shard(read_table(spark, folder, "documents")).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+def op10_histogram_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0).select(
+        "query_id", "rank", "vec_id", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op5_url_reputation": op5_url_reputation,
+    "op9_hilbert_sharding": op9_hilbert_sharding,
+    "op10_histogram_topk": op10_histogram_topk,
 }
 SQL: dict[str, str] = {}
