@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import packing, repeats, reputation, sharding, topk
+from emberlake.llm import jaccard, packing, repeats, reputation, sharding, topk
 from emberlake.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -37,6 +37,11 @@ def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "bad_rate_bound")
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.similar_components(read_table(spark, folder, "documents")).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 def op9_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(read_table(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op5_url_reputation": op5_url_reputation,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_histogram_topk": op10_histogram_topk,
 }
