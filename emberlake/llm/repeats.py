@@ -36,7 +36,8 @@ from emberlake.llm.common import Rolling, byte_slices, staged
 THRESHOLD = 400
 DEPTH = 128
 CHUNK = 1 << 19  # window starts handled at once
-GROUP = 256  # runs that meet in one task
+GROUP = 256  # runs of one anchor that meet in one task
+BATCH = 2048  # runs handled at once
 
 _hashes: list[Rolling] = []
 _PLACE = np.uint64((1 << 20) - 1)
@@ -229,7 +230,7 @@ def repeated_spans(
     runs = staged(keyed.where(long).mapInArrow(_find_runs(run_schema, threshold, depth), run_schema), "runs")
 
     # First digit: anchors that occur once end here.
-    repeated = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor")
+    repeated = staged(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
     alive = staged(runs.join(repeated, "anchor", "left_semi"), "alive")
 
     # Second digit: equal runs, with their number and the place of one of them.
@@ -247,11 +248,12 @@ def repeated_spans(
         .where("runs > 1 AND least = 1")
         .select("anchor", F.ceil(F.col("runs") / F.lit(group)).cast("int").alias("slices"))
     )
-    wanted = classes.join(mixed_groups, "anchor").select(
+    wanted = staged(classes.join(mixed_groups, "anchor").select(
         F.col("at.id").alias("id"), F.col("at.text_hash").alias("text_hash"),
         F.struct(
             F.col("at.start").alias("start"), "windows", "slices", "anchor", "first", "second",
-            (F.col("n") == 1).alias("single")).alias("run"))
+            (F.col("n") == 1).alias("single")).alias("run")), "wanted")
+    batches = max(1, -(-wanted.count() // BATCH))  # groups share a task; equal windows stay together
     by_text = wanted.groupBy("id", "text_hash").agg(F.collect_list("run").alias("runs"))
     one_text = keyed.where(long)
     listed = one_text.alias("d").join(
@@ -265,7 +267,7 @@ def repeated_spans(
     ])
     parts = (
         listed.mapInArrow(_hash_windows(window_schema, threshold), window_schema)
-        .groupBy("anchor", "slice")
+        .groupBy(F.pmod(F.xxhash64("anchor", "slice"), F.lit(batches)).alias("batch"))
         .applyInPandas(_repeated_windows, "first bigint, second bigint, places array<smallint>")
     )
     partly = (
