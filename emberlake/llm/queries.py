@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import jaccard, packing, repeats, reputation, sharding, topk
+from emberlake.llm import decontaminate, jaccard, packing, repeats, reputation, secret_scan, sharding, topk
 from emberlake.llm.common import read_table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -31,6 +31,18 @@ def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_secret_linking(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.scan(read_table(spark, folder, "documents"))
+
+    def count(kind: int):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("bigint")
+
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secret_scan.text_spans(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.text_spans(F.concat("base", "weak")).alias("spans"))
+
+
 def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages")
     return reputation.filter_urls(pages, reputation.page_outcome(F.col("html"))).select(
@@ -42,6 +54,12 @@ def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_shingles", "component_id")
 
 
+def op8_spaced_seed_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.overlaps(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark")
+    ).select("doc_id", "item_id", "start_word", "n_words", "n_matches")
+
+
 def op9_hilbert_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shard(read_table(spark, folder, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -56,8 +74,10 @@ def op10_histogram_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op4_secret_linking": op4_secret_linking,
     "op5_url_reputation": op5_url_reputation,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
+    "op8_spaced_seed_decontamination": op8_spaced_seed_decontamination,
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_histogram_topk": op10_histogram_topk,
 }
