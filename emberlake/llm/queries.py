@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emberlake.llm import decontaminate, jaccard, packing, repeats, reputation, secret_scan, sharding, topk
+from emberlake.llm import (
+    decontaminate, jaccard, language, packing, repeats, reputation, secret_scan, sharding, topk, toxicity,
+)
 from emberlake.llm.common import read_table
+from emberlake.llm.language import fold_of
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -31,6 +34,14 @@ def op2_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_toxicity_boosted_trees(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    labels = read_table(spark, folder, "labels").select("doc_id", "toxic").where(fold_of(F.col("doc_id"), 5) != 0)
+    return toxicity.train(docs, labels).score(docs).select(
+        "doc_id", (fold_of(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_secret_linking(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.scan(read_table(spark, folder, "documents"))
 
@@ -49,6 +60,13 @@ def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict", "bad_rate_bound")
 
 
+def op6_hyperdimensional_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents")
+    fold = fold_of(F.col("doc_id"), 4)
+    return language.identify(docs, language.prototypes(docs.where(fold != 2))).select(
+        "doc_id", (fold == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.similar_components(read_table(spark, folder, "documents")).select(
         "doc_id", "n_shingles", "component_id")
@@ -74,8 +92,10 @@ def op10_histogram_topk(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
+    "op3_toxicity_boosted_trees": op3_toxicity_boosted_trees,
     "op4_secret_linking": op4_secret_linking,
     "op5_url_reputation": op5_url_reputation,
+    "op6_hyperdimensional_language": op6_hyperdimensional_language,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_spaced_seed_decontamination": op8_spaced_seed_decontamination,
     "op9_hilbert_sharding": op9_hilbert_sharding,

@@ -109,7 +109,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope:
 
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = "[secret]", scope: int = SCOPE) -> DataFrame:
-    """``docs`` with every reported span replaced; rows without one are unchanged."""
+    """``docs`` with every reported span replaced; rows without one are unchanged. Overlapping
+    spans become one mask."""
     found = scan(docs, id_col, text_col, scope).select(
         F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash"),
         F.array_sort(F.concat("base", "weak")).alias("_spans")).where(F.size("_spans") > 0).dropDuplicates(["_id", "_hash"])
