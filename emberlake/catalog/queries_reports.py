@@ -475,5 +475,51 @@ add("t13_summary_by_country", lambda d: P.summary_by_country(d.raw("raw_rain"),
     "SELECT pais_codigo, COUNT(*) AS filas, MIN(fecha) AS fecha_min, MAX(fecha) AS fecha_max FROM raw_rain GROUP BY 1",
     pais_codigo="s", filas="i", fecha_min="s", fecha_max="s")
 add("t13_point_list", lambda d: P.point_list(d.raw("raw_rain")), "SELECT DISTINCT punto FROM raw_rain", punto="s")
-add("t14_frame_audit", lambda d: P.counts_by(d.raw("raw_cover"), F.col("anio"), "anio"),
-    "SELECT anio, COUNT(*) AS filas FROM raw_cover GROUP BY 1", anio="i", filas="i")
+add("t10_cover_counts", lambda d: P.cover_counts(P.prepare_cover(d.raw("raw_cover"))),
+    f"SELECT anio, pais_codigo, COUNT(*) AS filas FROM ({_T09}) GROUP BY 1, 2", anio="i", pais_codigo="s", filas="i")
+
+
+def _audits(d):
+    """Two audited files: all rain rows under a provisional name, those of the three countries."""
+    rain = d.raw("raw_rain")
+    return P.file_audit(rain, "rain_nrt.parquet").unionByName(
+        P.file_audit(rain.where(F.col("pais_codigo") != "PRY"), "rain_2018_2025.parquet"))
+
+
+_AUDITS = """WITH files AS (SELECT 'rain_nrt.parquet' AS archivo, * FROM raw_rain UNION ALL
+  SELECT 'rain_2018_2025.parquet', * FROM raw_rain WHERE pais_codigo <> 'PRY'),
+audits AS (SELECT archivo, COUNT(*) AS filas, COUNT(*) - COUNT(fecha) AS nulos_temporales, MIN(fecha) AS fecha_min, MAX(fecha) AS fecha_max,
+  string_agg(DISTINCT pais_codigo, ',' ORDER BY pais_codigo) AS paises,
+  COALESCE(string_agg(DISTINCT pais_codigo, ',' ORDER BY pais_codigo) FILTER (WHERE pais_codigo NOT IN ('URY', 'ARG', 'BRA')), '') AS fuera,
+  archivo LIKE '%nrt%' AS es_nrt FROM files GROUP BY archivo)
+"""
+_RULES = _AUDITS + """, broken AS (
+  SELECT archivo, 'inicio' AS regla, 'fecha_minima_posterior_a_2018_01_01' AS detalle FROM audits WHERE CAST(fecha_min AS DATE) > DATE '2018-01-01'
+  UNION ALL SELECT archivo, 'fin', 'fecha_maxima_anterior_a_2025_01_01' FROM audits WHERE CAST(fecha_max AS DATE) < DATE '2025-01-01'
+  UNION ALL SELECT archivo, 'provisional', 'archivo_nrt_no_valido_como_principal' FROM audits WHERE es_nrt)
+"""
+add("t11_file_audit",
+    lambda d: _audits(d).select("*", F.array_join("paises", ",").alias("p"), F.array_join("paises_fuera_alcance", ",").alias("fuera")),
+    _AUDITS + "SELECT archivo, filas, nulos_temporales, fecha_min, fecha_max, paises AS p, fuera, es_nrt FROM audits",
+    archivo="s", filas="i", nulos_temporales="i", fecha_min="s", fecha_max="s", p="s", fuera="s", es_nrt="i")
+add("t12_candidate_rules", lambda d: P.candidate_rules(_audits(d)), _RULES + "SELECT archivo, regla, detalle FROM broken",
+    archivo="s", regla="s", detalle="s")
+add("t12_best_candidate", lambda d: P.best_candidate(_audits(d)),
+    _RULES + "SELECT archivo, filas, fecha_max FROM audits WHERE archivo NOT IN (SELECT archivo FROM broken) ORDER BY fecha_max DESC, filas DESC, archivo LIMIT 1",
+    archivo="s", filas="i", fecha_max="s")
+_AUDIT_ROWS = """SELECT 'filas' AS medida, '' AS clave, COUNT(*) AS valor FROM {t}
+  UNION ALL SELECT 'por_anio', CAST({y} AS VARCHAR), COUNT(*) FROM {t} GROUP BY 2
+  UNION ALL SELECT 'por_pais', {c}, COUNT(*) FROM {t} GROUP BY 2
+  UNION ALL SELECT 'anio_min', '', MIN({y}) FROM {t} UNION ALL SELECT 'anio_max', '', MAX({y}) FROM {t}
+  UNION ALL SELECT 'disponibles', '{f}', COUNT({f}) FROM {t}"""
+_AUDITED = ("filas", "por_anio", "por_pais", "anio_min", "anio_max")
+
+
+def _frame_audit(frame, field):
+    return P.frame_audit(frame).where(F.col("medida").isin(*_AUDITED) | ((F.col("medida") == "disponibles") & (F.col("clave") == field)))
+
+
+add("t14_cover_audit", lambda d: _frame_audit(d.raw("raw_cover"), "valor"),
+    _AUDIT_ROWS.format(t="raw_cover", y="anio", c="pais", f="valor"), medida="s", clave="s", valor="i")
+add("t14_complement_audit", lambda d: _frame_audit(d.raw("raw_rain"), "precipitacion_mm"),
+    _AUDIT_ROWS.format(t="raw_rain", y="year(CAST(fecha AS DATE))", c="pais_codigo", f="precipitacion_mm"), medida="s", clave="s", valor="i")

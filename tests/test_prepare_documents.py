@@ -1,5 +1,7 @@
 import json
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberlake.operators import documents as D
@@ -31,14 +33,36 @@ def test_statuses(rows):
     assert P.prepare(None, "CHIRPS", ["fecha"])[1].status == "pendiente"
 
 
+def _audits(rows, *files):
+    return reduce(DataFrame.unionByName, [P.file_audit(rows("fecha string, pais string", *data), name) for name, data in files])
+
+
 def test_candidate_rules(rows):
-    base = {"fecha_min": "2018-01-01", "fecha_max": "2025-01-15", "paises_detectados": {"URY": 1, "ARG": 2, "BRA": 3}, "contiene_chl": False, "es_nrt": False, "filas": 6}
-    assert P.candidate_errors(base) == []
-    assert P.candidate_errors({**base, "fecha_min": "2024-01-01", "fecha_max": "2024-12-31"}) == ["fecha_minima_posterior_a_2018_01_01", "fecha_maxima_anterior_a_2025_01_01"]
-    assert P.candidate_errors({**base, "paises_detectados": {"URY": 1, "CHL": 5}, "contiene_chl": True}) == ["contiene_chl", "faltan_paises_ARG_BRA"]
-    assert P.best_candidate([base, {**base, "filas": 9}, {**base, "es_nrt": True, "filas": 99}])["filas"] == 9
-    audit = P.file_audit(rows("fecha string, pais string", ("2017-01-01", "URY"), (None, "CHL")), "x_nrt.parquet")
-    assert audit["filas_fuera_2018_2025"] == 1 and audit["paises_fuera_alcance"] == ["CHL"] and audit["nulos_temporales"] == 1
+    full = [("2018-01-01", "URY"), ("2020-05-01", "ARG"), ("2025-01-15", "BRA")]
+    audits = _audits(
+        rows, ("good", full), ("larger", [*full, ("2021-01-01", "URY")]), ("late", [("2024-01-01", "URY"), ("2024-12-31", "ARG"), ("2024-06-01", "BRA")]),
+        ("chile", [*full[:1], ("2025-02-01", "CHL")]), ("larger_nrt", [*full, *full]), ("undated", [(None, c) for c in ("URY", "ARG", "BRA")]))
+    broken = {(r.archivo, r.detalle) for r in P.candidate_rules(audits).collect()}
+    assert broken == {
+        ("late", "fecha_minima_posterior_a_2018_01_01"), ("late", "fecha_maxima_anterior_a_2025_01_01"), ("chile", "contiene_chl"),
+        ("chile", "faltan_paises_ARG_BRA"), ("larger_nrt", "archivo_nrt_no_valido_como_principal"),
+        ("undated", "sin_fecha_minima"), ("undated", "sin_fecha_maxima")}
+    assert [r.archivo for r in P.best_candidate(audits).collect()] == ["larger"]
+    assert P.best_candidate(audits.where("archivo = 'late'")).count() == 0
+
+
+def test_file_audit_row(rows):
+    audit = _audits(rows, ("x_nrt.parquet", [("2017-01-01", "URY"), (None, "CHL")])).first()
+    assert audit.filas_fuera_periodo == 1 and audit.paises_fuera_alcance == ["CHL"] and audit.nulos_temporales == 1
+    assert audit.fuera_periodo and audit.es_nrt and not audit.principal_recomendado and audit.paises == ["CHL", "URY"]
+    no_date = P.file_audit(rows("pais string", ("URY",)), "y_2018_2025.parquet").first()
+    assert no_date.fuera_periodo is None and no_date.filas == 1 and no_date.principal_recomendado
+
+
+def test_frame_audit_counts(rows):
+    out = {(r.medida, r.clave): r.valor for r in P.frame_audit(rows("anio int, pais string, v double", (2018, "URY", 1.0), (2020, "BRA", None), (2020, "URY", 2.0))).collect()}
+    assert out[("filas", "")] == 3 and out[("columnas", "")] == 3 and (out[("anio_min", "")], out[("anio_max", "")]) == (2018, 2020)
+    assert out[("por_anio", "2020")] == 2 and out[("por_pais", "URY")] == 2 and out[("disponibles", "v")] == 2
 
 
 def test_detection_preparation(rows):
