@@ -6,7 +6,6 @@ checkpoint folder, as a warehouse would hold them, and queries read them from th
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from functools import cached_property
 
@@ -39,9 +38,7 @@ class Domain:
 
     @cached_property
     def scratch(self) -> str:
-        shared = self.spark.conf.get("spark.checkpoint.dir", None)
-        base = shared or self.spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="emberlake-")
-        return f"{base.rstrip('/')}/emberlake-{uuid.uuid4().hex}"
+        return f"{session.shared_folder(self.spark)}/emberlake-{uuid.uuid4().hex}"
 
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")

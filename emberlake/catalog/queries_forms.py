@@ -44,13 +44,6 @@ add("c01_event_kind",
     .groupBy("tipo").agg(F.count("*").alias("n")),
     "SELECT CASE event_id % 3 WHEN 0 THEN 'alta' WHEN 1 THEN 'sin_cambio' ELSE 'modificacion' END AS tipo, COUNT(*) AS n FROM events GROUP BY 1",
     tipo="s", n="i")
-add("c10_controlled_proof", lambda d: C.controlled_proof(d.stg_firms),
-    """WITH r AS (SELECT *, row_number() OVER (ORDER BY fecha_adq DESC, natural_key) AS n FROM stg_firms QUALIFY n <= 2)
-       SELECT v.fase, v.tipo_evento, r.natural_key, CASE WHEN v.tipo_evento = 'modificacion' THEN sha256(r.record_hash || '|correccion_simulada_origen')
-       ELSE r.record_hash END AS record_hash, CASE WHEN v.tipo_evento <> 'alta' THEN r.record_hash END AS hash_anterior FROM r JOIN (VALUES
-       ('carga_inicial', 'alta', 1), ('carga_incremental_identica', 'sin_cambio', 1), ('carga_incremental_con_delta', 'alta', 2),
-       ('carga_incremental_con_delta', 'modificacion', 1)) v(fase, tipo_evento, n) ON v.n = r.n""",
-    fase="s", tipo_evento="s", natural_key="s", record_hash="s", hash_anterior="s")
 
 # Space
 add("g05_grid_zone",

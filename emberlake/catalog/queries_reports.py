@@ -177,21 +177,29 @@ add("v06_station_country",
        UNION ALL SELECT 'dim_estacion pais distinto URY', 0, TRUE FROM (SELECT 1)""", regla="s", hallazgos="i", ok="i")
 
 
+_LINKS = ("fecha_id", "ubicacion_id", "clima_id", "precipitacion_id", "cobertura_id", "calidad_aire_id")
+
+
+def _with_orphans(fact):
+    """The fact and a second copy of its rows of January whose links point nowhere."""
+    lost = fact.where("mes = 1").withColumns({c: (F.col(c) * 0 - 7).cast(fact.schema[c].dataType) for c in _LINKS})
+    return fact.unionByName(lost)
+
+
 def _broken(d):
     t = d.tables("fact", "dim_date", "dim_weather", "dim_rain", "dim_cover", "dim_air")
-    return V.broken_links(t["fact"], {
-        "fecha_id": (t["dim_date"].where("anio < 2024"), "fecha_id"), "ubicacion_id": (d.dim_location, "ubicacion_id"),
-        "clima_id": (t["dim_weather"].where("fuente = 'METEO'"), "clima_id"), "precipitacion_id": (t["dim_rain"], "precipitacion_id"),
+    return V.broken_links(_with_orphans(t["fact"]), {
+        "fecha_id": (t["dim_date"], "fecha_id"), "ubicacion_id": (d.dim_location, "ubicacion_id"),
+        "clima_id": (t["dim_weather"], "clima_id"), "precipitacion_id": (t["dim_rain"], "precipitacion_id"),
         "cobertura_id": (t["dim_cover"], "cobertura_id"), "calidad_aire_id": (t["dim_air"], "calidad_aire_id"),
     }, required=("fecha_id", "ubicacion_id")).withColumnRenamed("check", "regla")
 
 
-_ORPHANS = {"fecha_id": ("(SELECT * FROM dim_date WHERE anio < 2024)", ""), "ubicacion_id": ("dim_location", ""),
-            "clima_id": ("(SELECT * FROM dim_weather WHERE fuente = 'METEO')", "x"), "precipitacion_id": ("dim_rain", "x"),
+_ORPHANS = {"fecha_id": ("dim_date", ""), "ubicacion_id": ("dim_location", ""), "clima_id": ("dim_weather", "x"), "precipitacion_id": ("dim_rain", "x"),
             "cobertura_id": ("dim_cover", "x"), "calidad_aire_id": ("dim_air", "x")}
 add("v07_broken_links", _broken,
     " UNION ALL ".join(
-        f"SELECT '{k} roto' AS regla, COUNT(*) AS hallazgos, COUNT(*) = 0 AS ok FROM linked f LEFT JOIN {t} d ON d.{k} = f.{k} WHERE d.{k} IS NULL"
+        f"SELECT '{k} roto' AS regla, COUNT(*) AS hallazgos, COUNT(*) = 0 AS ok FROM (SELECT {k} FROM linked UNION ALL SELECT CASE WHEN {k} IS NOT NULL THEN -7 END FROM linked WHERE mes = 1) f LEFT JOIN {t} d ON d.{k} = f.{k} WHERE d.{k} IS NULL"
         + (f" AND f.{k} IS NOT NULL" if opt else "") for k, (t, opt) in _ORPHANS.items()),
     regla="s", hallazgos="i", ok="i")
 add("v08_snapshot", lambda d: V.snapshot(d.tables("stg_firms", "fact", "dim_rain"), ("stg_firms", "fact"), F.lit("2024-01-01")),
@@ -323,8 +331,8 @@ add("x06_snapshots_by_year", lambda d: D.snapshots_by_year(d.raw("snapshot_docs"
        MAX(fecha) AS ultima_fecha FROM snapshot_docs GROUP BY 1, 2""",
     pais_codigo="s", anio="i", snapshots="i", total_focos="i", primera_fecha="s", ultima_fecha="s")
 add("x07_timestamp_presence",
-    lambda d: D.timestamp_presence({"raw_payloads": (d.raw("payload_docs"), "registrado_en"), "snapshots_firms": (d.raw("snapshot_docs"), "total_focos")}),
-    "SELECT 'raw_payloads' AS coleccion, COUNT(registrado_en) AS con_fecha FROM payload_docs UNION ALL SELECT 'snapshots_firms', COUNT(total_focos) FROM snapshot_docs",
+    lambda d: D.timestamp_presence({"raw_payloads": (d.raw("payload_docs"), "registrado_en"), "snapshots_firms": (d.raw("snapshot_docs"), "fecha")}),
+    "SELECT 'raw_payloads' AS coleccion, COUNT(registrado_en) AS con_fecha FROM payload_docs UNION ALL SELECT 'snapshots_firms', COUNT(fecha) FROM snapshot_docs",
     coleccion="s", con_fecha="i")
 add("x08_latest_errors",
     lambda d: D.latest(d.raw("log_docs"), F.col("estado").isin("parcial", "error"), ("run_id", "estado", "mensaje", "registrado_en"), "registrado_en", 20, "run_id"),
@@ -354,6 +362,12 @@ add("p22_null_safe_change",
     "SELECT pm2_5 IS DISTINCT FROM pm10 AS cambio, COUNT(*) AS filas FROM raw_air GROUP BY 1", cambio="i", filas="i")
 add("p23_document_scope", lambda d: d.raw("scoped_docs").groupBy(D.out_of_scope(F.col("documento")).alias("fuera")).agg(F.count("*").alias("documentos")),
     "SELECT event_id % 6 IN (0, 2, 4) AS fuera, COUNT(*) AS documentos FROM events GROUP BY 1", fuera="i", documentos="i")
+add("p24_sanitized_json",
+    lambda d: d.given("events").select("event_id", D.sanitize_json(F.concat(
+        F.lit('{"user":{"Token":"'), F.col("event_type"), F.lit('","n":['), F.array_join(F.array_repeat(F.col("event_id").cast("string"), 20), ","),
+        F.lit(']},"api_key":{"a":[1,2]},"props":'), F.coalesce("props", F.lit("null")), F.lit("}"))).alias("doc")),
+    """SELECT event_id, '{"user":{"Token":"[REDACTED]","n":[' || rtrim(repeat(CAST(event_id AS VARCHAR) || ',', 20), ',')
+       || ']},"api_key":"[REDACTED]","props":' || COALESCE(props, 'null') || '}' AS doc FROM events""", event_id="i", doc="s")
 add("p24_sanitized_documents",
     lambda d: d.given("events").select("event_id", D.sanitize_map(F.create_map(
         F.lit("user_token"), F.col("event_type"), F.lit("tipo"), F.col("event_type"), F.lit("Password"), F.col("props"))).alias("m"))
@@ -449,6 +463,13 @@ add("t08_sampling_points",
         F.when(F.col("c_custkey") % 3 == 0, "Salto").when(F.col("c_custkey") % 3 == 1, "Rio Negro").otherwise(F.concat(F.lit("P"), F.col("c_nationkey"))).alias("punto"),
         F.lit("URY").alias("pais_codigo")))[1],
     "SELECT DISTINCT 'P' || CAST(c_nationkey AS VARCHAR) AS punto, 'URY' AS pais_codigo FROM customer WHERE c_custkey % 3 = 2", punto="s", pais_codigo="s")
+add("t08_located_points",
+    lambda d: P.sampling_points(d.given("customer").select(
+        F.when(F.col("c_custkey") % 3 == 0, "Salto").when(F.col("c_custkey") % 3 == 1, "Rio Negro").otherwise(F.concat(F.lit("P"), F.col("c_nationkey"))).alias("punto"),
+        F.lit("URY").alias("pais_codigo")))[0],
+    "SELECT * FROM (VALUES ('Salto', 'URY', %s, %s), ('Rio Negro', 'URY', %s, %s)) v(punto, pais_codigo, latitud, longitud) WHERE EXISTS (SELECT 1 FROM customer)" % tuple(
+        x for name in ("salto", "rio_negro") for x in next(p[2:4] for p in K.PLACES if p[0] == name)),
+    punto="s", pais_codigo="s", latitud="f", longitud="f")
 _T09 = """SELECT *, CASE WHEN v BETWEEN 1 AND 17 THEN v END AS lab FROM (SELECT anio, upper(pais) AS pais_codigo, ubicacion, lat, lon, valor AS v, lc_descripcion, _seq,
   row_number() OVER (PARTITION BY anio, pais, ubicacion, lat, lon ORDER BY _seq DESC) AS rn FROM raw_cover WHERE anio BETWEEN 2018 AND 2025 AND ubicacion <> '') WHERE rn = 1"""
 _LABELS = "CASE v " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in K.LAND_COVER_LABELS.items()) + " END"

@@ -17,9 +17,10 @@ COUNTRY_ALIASES = {
     "ARGENTINA": "ARG",
     "BRASIL": "BRA",
 }
-# Dataset preparation also accepts the English spelling.
+# Dataset preparation also accepts the English spelling.
 PREPARATION_ALIASES = {**COUNTRY_ALIASES, "BRAZIL": "BRA"}
 
+# First and last day of the period.
 PERIOD_START = "2018-01-01"
 PERIOD_END = "2025-12-31"
 
@@ -285,6 +286,7 @@ COLLECTIONS = {
         "domains": {"pais_codigo": COUNTRIES},
     },
 }
+# Parts of key names whose values are redacted.
 SENSITIVE_KEYS = (
     "password", "passwd", "token", "secret", "api[_-]?key", "authorization", "credential",
 )

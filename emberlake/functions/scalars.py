@@ -148,7 +148,7 @@ def payload(df: DataFrame, exclude: Iterable[str] = ()) -> Column:
 
 def exact_mean(total: Column, count: Column, digits: int) -> Column:
     """Half-up rounded mean from a decimal sum and a count, computed in decimals."""
-    mean = F.try_divide(total.cast("decimal(24,3)"), count.cast("decimal(12,0)"))
+    mean = F.try_divide(total.cast("decimal(24,3)"), count.cast("decimal(20,0)"))
     return F.round(mean, digits)
 
 

@@ -20,11 +20,12 @@ from pyspark.sql import functions as F
 from emberlake import constants as K
 from emberlake.functions import geo as G
 from emberlake.functions import scalars as S
+from emberlake.session import materialise
 
 DENSE = 64  # points in one cell above which a finer level is searched first
 FINEST_KM = 1.0
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 8  # shares of one cell's places when both sides are shuffled
+SHARE = 100_000  # places of one cell that a task should meet when both sides are shuffled
 ROW_BYTES = 160  # generous width of one reach row: a few numbers and a short text
 
 
@@ -118,8 +119,12 @@ def nearest_points(
             reach = F.broadcast(reach)
         else:
             # A cell may hold a third of all places: its places are dealt over several tasks.
-            reach = reach.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-            shares = F.pmod(F.xxhash64("ubicacion_id"), F.lit(SALTS)).cast("int")
+            busiest = (
+                pending.groupBy(*keys, G.latitude_cell(F.col("_lat"), cells).alias("r"), G.longitude_cell(F.col("_lon"), cells).alias("c"))
+                .count().agg(F.max("count")).collect()[0][0] or 0)
+            salts = max(1, -(-busiest // SHARE))
+            reach = reach.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+            shares = F.pmod(F.xxhash64("ubicacion_id"), F.lit(salts)).cast("int")
             met.append("_salt")
         at_cell = pending.withColumn("_salt", shares)
         at_cell = at_cell.withColumn("_row", G.latitude_cell(F.col("_lat"), cells)).withColumn(
@@ -136,8 +141,12 @@ def nearest_points(
             .where(F.col("_order") == 1)
             .drop("_order", "_row", "_col", "_salt", "_radius", "_lat", "_lon")
         )
+        if len(levels) > 1:
+            near = materialise(near, "near")  # the next level and the union read the same rows
         found.append(near)
-        pending = pending.join(near.select(*identity), identity, "left_anti")
+        if cells != levels[0][1]:
+            pending = pending.join(near.select(*identity), identity, "left_anti")
+            pending = materialise(pending, "pending")
     return reduce(DataFrame.unionByName, found)
 
 
@@ -193,9 +202,9 @@ def weather_links(
         _places(timed, ["fecha"]), ambient_points(readings, ["fecha"], source=True), ["fecha"],
         max_km, [priority], ties=True, **tuning,
     ).select("ubicacion_id", "fecha", "fuente", "_point", F.col("_km").alias("clima_km"))
-    asked = timed.select("ubicacion_id", "fecha", "_minute").distinct().join(
+    asked = materialise(timed.select("ubicacion_id", "fecha", "_minute").distinct().join(
         nearest, ["ubicacion_id", "fecha"]
-    )
+    ), "asked")
     chosen = closest_in_time(asked, readings)
     return (
         asked.join(chosen, ["_point", "fuente", "fecha", "_minute"])

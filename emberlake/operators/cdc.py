@@ -166,33 +166,3 @@ def latest_date(accepted: DataFrame) -> DataFrame:
 def total_counters(runs: DataFrame) -> DataFrame:
     names = ("leidas", "insertadas", "actualizadas", "sin_cambio", "rechazadas")
     return runs.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in names])
-
-
-def controlled_proof(staged: DataFrame, day: str = "fecha_adq") -> DataFrame:
-    """Evidence events over the two newest rows, without touching staging: first load of the
-    newest, the same again, then a delta with the second row and a simulated correction."""
-    newest = staged.orderBy(F.col(day).desc(), "natural_key").limit(2).select(
-        "natural_key", "record_hash", day
-    )
-    pair = newest.agg(
-        F.sort_array(F.collect_list(F.struct((-F.unix_date(day)).alias("d"), "natural_key", "record_hash"))).alias("r")
-    )
-
-    def event(phase: str, row: int, kind: str, corrected: bool = False) -> Column:
-        source = F.get("r", F.lit(row))
-        stored = source["record_hash"]
-        changed = F.sha2(F.concat_ws("|", stored, F.lit("correccion_simulada_origen")), 256)
-        return F.struct(
-            F.lit(phase).alias("fase"), F.lit(kind).alias("tipo_evento"),
-            source["natural_key"].alias("natural_key"),
-            (changed if corrected else stored).alias("record_hash"),
-            (F.lit(None).cast("string") if kind == ALTA else stored).alias("hash_anterior"),
-        )
-
-    events = F.array(
-        event("carga_inicial", 0, ALTA),
-        event("carga_incremental_identica", 0, SIN_CAMBIO),
-        event("carga_incremental_con_delta", 1, ALTA),
-        event("carga_incremental_con_delta", 0, MODIFICACION, corrected=True),
-    )
-    return pair.select(F.explode(events).alias("e")).select("e.*").where(F.col("natural_key").isNotNull())

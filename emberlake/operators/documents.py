@@ -29,17 +29,15 @@ def run_documents(runs: DataFrame) -> DataFrame:
     return keep_one(docs, ["run_id"], [F.col("registrado_en").desc(), F.col("estado").asc()])
 
 
-def payload_documents(accepted: DataFrame, run_id: str, source: str, cap: int | None = None) -> DataFrame:
-    rows = accepted.limit(cap) if cap else accepted
-    return rows.select(
+def payload_documents(accepted: DataFrame, run_id: str, source: str) -> DataFrame:
+    return accepted.select(
         F.lit(run_id).alias("run_id"), F.lit(source).alias("fuente"),
         F.col("raw_payload").alias("payload"), F.current_timestamp().alias("registrado_en"),
     )
 
 
-def reject_documents(rejected: DataFrame, run_id: str, cap: int | None = None) -> DataFrame:
-    rows = rejected.limit(cap) if cap else rejected
-    return rows.select(
+def reject_documents(rejected: DataFrame, run_id: str) -> DataFrame:
+    return rejected.select(
         F.lit(run_id).alias("run_id"), "fuente", "motivo", "registro",
         F.current_timestamp().alias("registrado_en"),
     )
@@ -89,56 +87,26 @@ def sensitive(key: Column) -> Column:
     return F.regexp_like(key, F.lit("(?i)(" + "|".join(K.SENSITIVE_KEYS) + ")"))
 
 
-def sanitize_map(column: Column, max_keys: int = 30) -> Column:
-    """Redact sensitive keys and keep the first ``max_keys`` entries of a string map."""
-    entries = F.slice(F.map_entries(column), 1, max_keys)
-    clean = F.transform(
-        entries,
-        lambda e: F.struct(
-            e["key"].alias("key"),
-            F.when(sensitive(e["key"]), "[REDACTED]").otherwise(e["value"]).alias("value"),
-        ),
-    )
-    return F.map_from_entries(clean)
-
-
-def sanitize_json(column: Column, max_keys: int = 30, max_items: int = 10) -> Column:
-    """The same for JSON text: objects and arrays are cut and redacted at the first two levels,
-    deeper objects become "[Object]" and deeper arrays "[Array]"."""
-
-    def inner(value: Column, depth: int) -> Column:
-        is_object = F.startswith(F.trim(value), F.lit("{"))
-        is_array = F.startswith(F.trim(value), F.lit("["))
-        if depth >= 3:
-            return F.when(is_object, F.lit('"[Object]"')).when(is_array, F.lit('"[Array]"')).otherwise(value)
-        entries = F.slice(F.map_entries(F.from_json(value, "map<string,string>")), 1, max_keys)
-        # Text values of the map lost their quotes; to_json adds them back.
-        body = F.transform(
-            entries,
-            lambda e: F.concat(
-                F.to_json(F.array(e["key"])).substr(F.lit(2), F.length(F.to_json(F.array(e["key"]))) - 2),
-                F.lit(":"),
-                F.when(sensitive(e["key"]), F.lit('"[REDACTED]"')).otherwise(
-                    inner(quoted(e["value"]), depth + 1)
-                ),
-            ),
-        )
-        items = F.slice(F.from_json(value, "array<string>"), 1, max_items)
-        cut = F.transform(items, lambda v: inner(quoted(v), depth + 1))
-        return (
-            F.when(is_object, F.concat(F.lit("{"), F.array_join(body, ","), F.lit("}")))
-            .when(is_array, F.concat(F.lit("["), F.array_join(cut, ","), F.lit("]")))
-            .otherwise(value)
-        )
-
-    def quoted(value: Column) -> Column:
-        text = F.to_json(F.array(value))
-        bare = value.rlike(r"^\s*([\{\[].*|-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?|true|false|null)\s*$")
-        return F.when(value.isNull(), F.lit("null")).when(bare, value).otherwise(
-            text.substr(F.lit(2), F.length(text) - 2)
-        )
-
-    return inner(column, 0)
+def sanitize_map(column: Column) -> Column:
+    """Redact the values of sensitive keys of a string map; every entry stays."""
+    return F.transform_values(column, lambda key, value: F.when(sensitive(key), "[REDACTED]").otherwise(value))
+
+
+def _json_value(depth: int = 6) -> str:
+    """Pattern of a JSON value, with objects and arrays nested up to ``depth``."""
+    text = r'"(?:[^"\\]|\\.)*+"'
+    value = rf'(?:{text}|[^\s,\[\]{{}}"]++)'
+    for _ in range(depth):
+        inside = rf'(?:[^\[\]{{}}"]++|{text}|{value})*+'
+        value = rf'(?:{text}|\{{{inside}\}}|\[{inside}\]|[^\s,\[\]{{}}"]++)'
+    return value
+
+
+def sanitize_json(column: Column) -> Column:
+    """The same for JSON text, at every depth: the value of a sensitive key becomes "[REDACTED]",
+    whatever its type; everything else stays as it is written."""
+    key = rf'(?<!\\)"(?:[^"\\]|\\.)*?(?:{"|".join(K.SENSITIVE_KEYS)})(?:[^"\\]|\\.)*+"\s*:\s*'
+    return F.regexp_replace(column, rf'(?i)({key}){_json_value()}', '$1"[REDACTED]"')
 
 
 SCOPE_PATHS = (

@@ -94,7 +94,11 @@ def classify_country(points: DataFrame, borders: DataFrame, id_cols: list[str])
     code = hits.groupBy("latitud", "longitud").agg(
         F.max_by("pais_codigo", "_layer").alias("pais_codigo")
     )
-    return points.drop("pais_codigo").join(code, ["latitud", "longitud"], "left")
+    # Points without coordinates share one null key; they have no country and skip the join.
+    located = F.col("latitud").isNotNull() & F.col("longitud").isNotNull()
+    bare = points.drop("pais_codigo")
+    found = bare.where(located).join(code, ["latitud", "longitud"], "left")
+    return found.unionByName(bare.where(~located).withColumn("pais_codigo", F.lit(None).cast("string")))
 
 
 def assign_region(

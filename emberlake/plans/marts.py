@@ -32,7 +32,7 @@ def _reduced(fact: DataFrame, groups: list[str], link: str) -> DataFrame:
 def _weighted(column: str) -> tuple[Column, Column]:
     """Sum and count of a measure over the detections behind each reduced row."""
     value = F.col(column)
-    weight = F.col("_n").cast("decimal(12,0)")
+    weight = F.col("_n").cast("decimal(20,0)")
     total = F.sum((value * weight).cast("decimal(24,3)"))
     count = F.sum(F.when(value.isNotNull(), F.col("_n")))
     return total, count

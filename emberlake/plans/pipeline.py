@@ -25,7 +25,6 @@ STAGING_TABLE = {
     "MODIS": "stg_modis", "CAMS": "stg_calidad_aire",
 }
 DATE_COLUMN = {"FIRMS": "fecha_adq", "METEO": "fecha", "INUMET": "fecha", "CHIRPS": "fecha", "CAMS": "fecha"}
-DOCUMENT_CAP = 1000
 
 
 @dataclass(frozen=True)
@@ -39,7 +38,8 @@ class RunOptions:
 
     @classmethod
     def smoke_run(cls, **changes) -> RunOptions:
-        base = cls(True, "2025-01-01", "2025-01-07", ("URY",), 1000)
+        """One week of one country; a cap on its rows only if the caller asks for one."""
+        base = cls(True, "2025-01-01", "2025-01-07", ("URY",))
         return replace(base, **changes)
 
 
@@ -72,7 +72,7 @@ class Warehouse:
             raw, options.start_date, options.end_date, options.countries, options.max_records
         )
         if N.SEQ not in rows.columns:
-            rows = rows.withColumn(N.SEQ, F.monotonically_increasing_id())
+            rows = R.in_file_order(rows)
         judged = t.stage(N.judge(rows, source), f"judged_{source.lower()}")
         accepted, rejected = N.accepted_rows(judged, source), N.rejected_rows(judged, source)
         if source == "MODIS":
@@ -110,8 +110,8 @@ class Warehouse:
             "etl_runs",
         )
         if not options.skip_documents:
-            t.append(D.payload_documents(accepted, run_id, source, DOCUMENT_CAP), "doc_raw_payloads", ["fuente"])
-            t.append(D.reject_documents(rejected, run_id, DOCUMENT_CAP), "doc_rechazos_etl", ["fuente"])
+            t.append(D.payload_documents(accepted, run_id, source), "doc_raw_payloads", ["fuente"])
+            t.append(D.reject_documents(rejected, run_id), "doc_rechazos_etl", ["fuente"])
         if not options.smoke and years:
             self.promote(source, years)
         self.log(source, "load", "ok", run_id, promocion_dw=not options.smoke, **counts)

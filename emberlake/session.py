@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 # Planner settings the operators rely on. Sizes stay with the cluster's own defaults.
 SETTINGS = {
@@ -37,16 +40,29 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "16
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the cluster's shared checkpoint folder; set ``fallback`` only where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        spark.sparkContext.setCheckpointDir(shared or fallback)
-    return shared or current or fallback
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: ``spark.checkpoint.dir`` or the context's checkpoint
+    folder. Only a local session may do without; it gets a folder of its own."""
+    context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="emberlake-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """Write a step to the shared folder and read it back: it is computed once, and a lost
+    executor costs its own tasks only."""
+    spark = df.sparkSession
+    place = f"{shared_folder(spark)}/steps/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(place)
+    return spark.read.schema(df.schema).parquet(place)
 
 
 def spread(df):
-    """Share a scan with fewer splits than cores among all of them; larger scans stay as they are."""
+    """Deal a table of fewer files than cores to all of them; a file cannot always be split."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -83,11 +83,24 @@ def years_present(
     return days.select(F.year("d").alias("anio")).distinct().orderBy("anio")
 
 
+def _around_year(df: DataFrame, column: str, year: int) -> Column:
+    """A range that reaches the file scan: the year itself on a date or timestamp; on ISO text a
+    year more on both sides, since an offset may shift an instant across the turn of the year."""
+    kind = S.type_of(df, column)
+    value = F.col(column)
+    if isinstance(kind, T.StringType):
+        return (value >= f"{year - 1:04d}") & (value < f"{year + 2:04d}")
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        first, last = (F.lit(f"{y:04d}-01-01").cast(kind) for y in (year, year + 1))
+        return (value >= first) & (value < last)
+    return F.lit(True)
+
+
 def read_year(
     df: DataFrame, column: str, year: int, budget: int | None = None
 ) -> DataFrame:
     """Rows of one year, at most ``budget`` of them when a budget is left over."""
-    rows = df.where(F.year(S.try_utc(F.col(column))) == year)
+    rows = df.where(_around_year(df, column, year)).where(F.year(S.try_utc(F.col(column))) == year)
     return rows if budget is None else rows.limit(max(budget, 0))
 
 
@@ -405,6 +418,19 @@ def sample_grid(
     )
 
 
+def in_file_order(df: DataFrame) -> DataFrame:
+    """Arrival numbers of rows read from files: older files first, then by path and by place in
+    the file, whatever their sizes. Rows of other origin are numbered as they stand."""
+    place = ("file_modification_time", "file_path", "file_block_start")
+    try:
+        marked = df.select("*", *[F.col(f"_metadata.{p}").alias(f"_{p}") for p in place])
+    except AnalysisException:
+        return df.withColumn("_seq", F.monotonically_increasing_id())
+    marked = marked.withColumn("_at", F.monotonically_increasing_id())
+    order = [f"_{p}" for p in place] + ["_at"]
+    return with_arrival(marked, order).drop(*order)
+
+
 def with_arrival(df: DataFrame, order: Sequence[str], first: int = 0) -> DataFrame:
     """Arrival numbers for a raw frame, in the order of the given columns.
 
