@@ -26,6 +26,7 @@ DIMENSIONS = 1024
 GRAM = 3
 LETTERS = 4096  # letter vectors; code points beyond share them
 KEPT = 20_000  # n-gram vectors a worker remembers
+UNIT = 1 << 20  # texts are summed as whole numbers of this fraction
 UNKNOWN = "und"
 
 _tables: dict = {}
@@ -108,7 +109,7 @@ def prototypes(
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 names = part.column(0).to_pylist()
-                units = _unit(profile.bundles([t or "" for t in part.column(1).to_pylist()]))
+                units = np.rint(_unit(profile.bundles([t or "" for t in part.column(1).to_pylist()])) * UNIT).astype(np.int64)
                 for name in set(names):
                     total = units[[i for i, x in enumerate(names) if x == name]].sum(axis=0)
                     sums[name] = sums[name] + total if name in sums else total
@@ -116,14 +117,14 @@ def prototypes(
         where = [(n, i) for n in names for i in range(dimensions)]
         yield pa.RecordBatch.from_arrays([
             pa.array([n for n, _ in where], pa.string()), pa.array([i for _, i in where], pa.int32()),
-            pa.array(np.concatenate([sums[n] for n in names]) if names else [], pa.float64()),
+            pa.array(np.concatenate([sums[n] for n in names]) if names else [], pa.int64()),
         ], ["lang", "i", "x"])
 
-    # Rounded to whole thousandths: sums of whole numbers do not depend on the order of tasks.
+    # Whole numbers: their sums do not depend on how rows are dealt to tasks.
     rows = (
         docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-        .mapInArrow(bundle, "lang string, i int, x double")
-        .groupBy("lang", "i").agg(F.sum(F.round(F.col("x") * 1000).cast("bigint")).alias("x"))
+        .mapInArrow(bundle, "lang string, i int, x bigint")
+        .groupBy("lang", "i").agg(F.sum("x").alias("x"))
         .groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("i", "x"))).alias("v")).collect())
     found = {r["lang"]: _unit(np.array([[x["x"] for x in r["v"]]], np.float64))[0] for r in rows}
     return {name: v for name, v in sorted(found.items()) if v.any()}

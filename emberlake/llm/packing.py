@@ -195,7 +195,7 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int, passes: i
 
 def _fill(i: int, open_: dict, fill: list, pool: _Pool, lengths: np.ndarray, capacity: int) -> bool:
     """Raise the fill of bin ``i`` from the pool by the exchange that leaves the least room."""
-    changed = False
+    changed, banned = False, set()
     while fill[i] < capacity and pool.mask:
         room, best = capacity - fill[i], None
         for own in [-1, *open_[i]]:
@@ -205,7 +205,7 @@ def _fill(i: int, open_: dict, fill: list, pool: _Pool, lengths: np.ndarray, cap
                 best = (one - size, own, (one,))
             if best and best[0] == room:
                 break
-            if own < 0:
+            if own < 0 or own in banned:
                 continue
             want, rest = size + room, pool.mask  # two documents that fill the bin exactly
             rest &= (1 << (want // 2 + 1)) - 1
@@ -221,23 +221,44 @@ def _fill(i: int, open_: dict, fill: list, pool: _Pool, lengths: np.ndarray, cap
                 break
         if best is None:
             break
-        gain, own, sizes = best
-        taken = [pool.take(s) for s in sizes]
-        for (b, item), s in zip(taken, sizes):
-            open_[b].remove(item)
-            fill[b] -= s
-            open_[i].append(item)
-        if own >= 0:  # the own document takes the place of the first one taken
-            b = taken[0][0]
-            open_[i].remove(own)
-            open_[b].append(own)
-            fill[b] += int(lengths[own])
-            pool.put(int(lengths[own]), b, own)
-        fill[i] += gain
+        if not _exchange(i, best[1], best[2], open_, fill, pool, lengths, capacity):
+            if len(best[2]) == 1:
+                break
+            banned.add(best[1])  # its two partners cannot give it a place
+            continue
         changed = True
     return changed
 
 
+def _exchange(
+    i: int, own: int, sizes: tuple, open_: dict, fill: list, pool: _Pool, lengths: np.ndarray, capacity: int,
+) -> bool:
+    """Take documents of these sizes into bin ``i`` and put ``own`` (if any) in the emptiest bin
+    they came from; refused if that overfills it or lowers the sum of squared fills."""
+    taken = [pool.take(s) for s in sizes]
+    size = int(lengths[own]) if own >= 0 else 0
+    after = {i: fill[i] + sum(sizes) - size}
+    for (b, _), s in zip(taken, sizes):
+        after[b] = after.get(b, fill[b]) - s
+    home = min((b for b, _ in taken), key=lambda b: (after[b], b))
+    after[home] += size
+    gain = sum(after[b] ** 2 - fill[b] ** 2 for b in after)
+    if after[home] > capacity or gain <= 0:
+        for (b, item), s in zip(taken, sizes):
+            pool.put(s, b, item)
+        return False
+    for b, item in taken:
+        open_[b].remove(item)
+        open_[i].append(item)
+    if own >= 0:
+        open_[i].remove(own)
+        open_[home].append(own)
+        pool.put(size, home, own)
+    for b, f in after.items():
+        fill[b] = f
+    return True
+
+
 def _pack_block(capacity: int):
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("uid")

@@ -62,8 +62,9 @@ def levels(host: Column) -> tuple[Column, Column]:
     return F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
 
 
-def _shrunk(table: DataFrame, parent: Column) -> tuple[Column, Column]:
-    """Posterior mean and strength of each row under a prior around its parent's mean.
+def _shrunk(table: DataFrame, parent: Column, known: Column) -> tuple[Column, Column]:
+    """Posterior mean and size of each row under a prior around its parent's mean. The prior is
+    worth no more outcomes than the parent's posterior (``known``) rests on.
 
     Strength by moments: with rates p of n outcomes around m, the variance between siblings is
     the mean of (p - m)^2 - m(1 - m)/n, and a beta prior of strength s has m(1 - m)/(s + 1)."""
@@ -74,7 +75,8 @@ def _shrunk(table: DataFrame, parent: Column) -> tuple[Column, Column]:
         F.sum(n * (F.pow(bad / n - m, F.lit(2)) - m * (1 - m) / n)) / F.sum(n), F.sum(n * m * (1 - m)) / F.sum(n),
     ).collect()[0]
     strength = high if not spread or spread <= 0 else min(high, max(low, inner / spread - 1))
-    return (m * strength + bad) / (strength + n), F.lit(strength) + n
+    prior = F.least(F.lit(float(strength)), known)
+    return (m * prior + bad) / (prior + n), prior + n
 
 
 def host_reputation(outcomes: DataFrame) -> DataFrame:
@@ -86,13 +88,15 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
         .withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    overall = suffixes.agg(F.sum("bad") / F.sum("n")).collect()[0][0] or 0.0
+    bad, n = suffixes.agg(F.sum("bad"), F.sum("n")).collect()[0]
 
-    top = suffixes.select("suffix", _shrunk(suffixes, F.lit(overall))[0].alias("suffix_mean"))
+    mean, size = _shrunk(suffixes, F.lit(bad / n if n else 0.0), F.lit(float(n or 0)))
+    top = suffixes.select("suffix", mean.alias("parent"), size.alias("known"))
     middle = domains.join(top, "suffix")
-    middle = middle.select("domain", "suffix", _shrunk(middle, F.col("suffix_mean"))[0].alias("domain_mean"))
+    mean, size = _shrunk(middle, F.col("parent"), F.col("known"))
+    middle = middle.select("domain", "suffix", mean.alias("parent"), size.alias("known"))
     bottom = hosts.join(middle, ["domain", "suffix"])
-    mean, size = _shrunk(bottom, F.col("domain_mean"))
+    mean, size = _shrunk(bottom, F.col("parent"), F.col("known"))
     return bottom.select("host", "n", "bad", mean.alias("mean"), size.alias("size")).withColumn(
         "lower", F.col("mean") - Z * F.sqrt(F.col("mean") * (1 - F.col("mean")) / (F.col("size") + 1)))
 
