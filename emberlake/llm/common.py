@@ -34,7 +34,17 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     release(spark)
     place = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(place)
-    return spark.read.schema(df.schema).parquet(place)
+    found = spark.read.schema(df.schema).parquet(place)
+    found._place = place
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove the files of staged tables that no later step reads."""
+    for df in tables:
+        jvm = df.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(df._place)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def release(spark: SparkSession) -> None:

@@ -31,12 +31,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlake.llm.common import Rolling, byte_slices, mixed, staged
+from emberlake.llm.common import Rolling, byte_slices, discard, mixed, staged
 from emberlake.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-COUNTERS = 1 << 20
+COUNTERS = 1 << 22
 
 _state: dict = {}
 
@@ -112,7 +112,7 @@ def _describe(words: int, counters: int, schema: T.StructType):
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(1, none.type), pa.array([0], pa.int64()), pa.array([0], pa.int64()),
                 pa.array([0], pa.int64()), pa.array([0], pa.int64()),
-                pa.array([counts.astype("<i4" if counts.max(initial=0) < 2**31 else "<i8").tobytes()], pa.binary()),
+                pa.array([_packed(counts)], pa.binary()),
             ], schema.names)
 
     return describe
@@ -120,24 +120,29 @@ def _describe(words: int, counters: int, schema: T.StructType):
 
 def total_counts(parts: DataFrame, counters: int) -> np.ndarray:
     """Sum of packed counters, by a tree of tasks that each add up 16 of them."""
+
+    def unpack(packed: bytes) -> np.ndarray:
+        return np.frombuffer(packed, "<i4" if len(packed) == 4 * counters else "<i8")
+
     def add(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         total = np.zeros(counters, np.int64)
         for batch in batches:
-            for packed in batch.column(0).to_pylist():
-                total += np.frombuffer(packed, "<i4" if len(packed) == 4 * counters else "<i8")
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["counts"])
+            for packed in batch.column(0):
+                total += unpack(packed.as_py())
+        yield pa.RecordBatch.from_arrays([pa.array([_packed(total)], pa.binary())], ["counts"])
 
     rows = parts.count()
-    while rows > 4:
-        groups = -(-rows // 16)
-        parts = staged(parts.repartition(groups).mapInArrow(add, "counts binary"), "counters")
-        rows = groups
-    total = np.zeros(counters, np.int64)
-    for row in parts.collect():  # four at most
-        total += np.frombuffer(row[0], "<i4" if len(row[0]) == 4 * counters else "<i8")
-    return total
+    while rows > 1:
+        rows = -(-rows // 16)
+        parts = staged(parts.repartition(rows).mapInArrow(add, "counts binary"), "counters")
+    found = parts.collect()  # one row
+    return unpack(bytes(found[0][0])) if found else np.zeros(counters, np.int32)
+
+
+def _packed(counts: np.ndarray) -> bytes:
+    return counts.astype("<i4" if counts.max(initial=0) < 2**31 else "<i8").tobytes()
 
 
 def _prefixes(words: int, percent: int, order, schema: T.StructType):
@@ -214,9 +219,9 @@ class _Join:
     def classes(self, counts: np.ndarray) -> DataFrame:
         """One row per distinct set: uid, id and text_hash of one text, n, hashes, prefix."""
         schema = self._schema(T.StructField("prefix", T.ArrayType(T.LongType())))
-        order = self.spark.sparkContext.broadcast(counts.astype(np.int64))  # fixed number of counters
+        order = self.spark.sparkContext.broadcast(counts)  # fixed number of counters
         found = self.keyed.mapInArrow(_prefixes(self.words, self.percent, order, schema), schema)
-        return staged(found.dropDuplicates(["first", "second"]).withColumn("uid", F.monotonically_increasing_id()), "classes")
+        return staged(found.dropDuplicates(["first", "second"]).withColumn("uid", F.monotonically_increasing_id()), "prefixes")
 
     def texts_of(self, classes: DataFrame, uids: DataFrame) -> DataFrame:
         """Whole sets of the given classes."""
@@ -236,8 +241,10 @@ class _Join:
         two = sets.select(F.col("uid").alias("b"), F.col("tokens").alias("right"))
         both = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - both
-        return staged(
+        found = staged(
             pairs.join(one, "a").join(two, "b").where(both * 100 >= union * self.percent).select("a", "b").distinct(), "links")
+        discard(sets, pairs)
+        return found
 
     def near(self, n: Column, m: Column) -> Column:
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
@@ -252,14 +259,16 @@ def similar_components(
     100 * intersection >= percent * union of their sets."""
     join = _Join(docs, id_col, text_col, words, percent, counters)
     sizes, counts = join.described()
-    classes = join.classes(counts)
-    tokens = classes.select(F.explode("prefix").alias("token"), "uid", "n")
+    prefixes = join.classes(counts)
+    classes = staged(prefixes.drop("prefix"), "classes")
+    tokens = prefixes.select(F.explode("prefix").alias("token"), "uid", "n")
 
     # Groups of at least two classes, each with its head.
     heads = staged(
         tokens.groupBy("token").agg(F.min("uid").alias("head"), F.max("uid").alias("last"))
         .where("last > head").select("token", "head"), "heads")
     alive = staged(tokens.join(heads, "token"), "alive")
+    discard(prefixes, heads)
     shared = alive.where("uid != head").groupBy("uid", "head").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
     sized = classes.select(F.col("uid").alias("head"), F.col("n").alias("m"))
     best = (
@@ -278,6 +287,7 @@ def similar_components(
         .groupBy("token").agg(F.max(F.struct("k", "component")).alias("most"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1").select("token", F.col("most.component").alias("trunk")))
     mixed_rows = staged(members.join(trunks, "token"), "mixed")
+    discard(alive, members)
     others = mixed_rows.where("component != trunk").select(
         "token", F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("own"))
     everyone = mixed_rows.select(
@@ -292,11 +302,19 @@ def similar_components(
                   & join.near(F.col("n_a"), F.col("n_b")))
         .groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
         .where(F.col("c") + after >= need).select("a", "b"))
-    links = first_links.unionByName(join.linked(candidates, classes))
-    found = staged(components(links), "components")
-
-    groups = classes.select("first", "second", "uid").join(found.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "first", "second", F.coalesce("component", "uid").alias("component"))
+    # Further links join whole components: a graph with one node for each.
+    named = classes.select("uid").join(known.withColumnRenamed("node", "uid"), "uid", "left").select(
+        "uid", F.coalesce("component", "uid").alias("part"))
+    named = staged(named, "parts")
+    bridges = (
+        join.linked(candidates, classes)
+        .join(named.select(F.col("uid").alias("a"), F.col("part").alias("left")), "a")
+        .join(named.select(F.col("uid").alias("b"), F.col("part").alias("right")), "b")
+        .select(F.col("left").alias("a"), F.col("right").alias("b")).distinct())
+    joined = staged(components(staged(bridges, "bridges")), "components")
+    final = named.join(joined.withColumnRenamed("node", "part"), "part", "left").select(
+        "uid", F.coalesce("component", "part").alias("component"))
+    groups = classes.select("first", "second", "uid").join(final, "uid").select("first", "second", "component")
     placed = staged(sizes.join(groups, ["first", "second"], "left"), "placed")
     least = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     return placed.join(least, "component", "left").select(
