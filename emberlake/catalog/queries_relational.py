@@ -244,7 +244,7 @@ _FIRST = """SELECT (SELECT COUNT(*) FROM {0}) AS leidas, COUNT(*) FILTER (WHERE
 
 
 def _load_rain(d):
-    house = Warehouse(d.spark, d.fresh("load_rain"))
+    house = Warehouse(d.spark, d.fresh("load_rain"), grain="year")
     house.load("CHIRPS", d.raw("raw_rain"))
     return house.tables.read("etl_runs").select(
         F.col("filas_leidas").alias("leidas"), F.col("filas_insertadas").alias("insertadas"), F.col("filas_actualizadas").alias("actualizadas"),
@@ -258,7 +258,7 @@ add("e01_load", _load_rain, _FIRST.format("rain"), **_RUN)
 def _stream(d):
     """Rain files as a stream, then the same files again: the replay must change nothing."""
     root = d.fresh("stream_rain")
-    house = Warehouse(d.spark, root)
+    house = Warehouse(d.spark, root, grain="year")
     landed = d.landed("raw_rain")
     schema = d.raw("raw_rain").drop("_seq").schema
     for attempt in range(2):
@@ -278,7 +278,7 @@ def _integrated(d):
     def missing():
         return d.spark.read.parquet(f"{d.scratch}/no_such_file.parquet")
 
-    house = Warehouse(d.spark, d.fresh("integrated"))
+    house = Warehouse(d.spark, d.fresh("integrated"), grain="year")
     readers = {"FIRMS": lambda: d.raw("raw_det"), "METEO": lambda: d.raw("raw_met").where("fuente = 'METEO'"),
                "CAMS": missing, "CHIRPS": lambda: d.raw("raw_rain"), "MODIS": lambda: d.raw("raw_cover"),
                "INUMET": lambda: d.raw("raw_met").where("fuente = 'INUMET'")}

@@ -63,21 +63,33 @@ def classify(
     )
 
 
+def flag_known(
+    current: DataFrame, previous: DataFrame, key: str = "natural_key", hash_col: str = "record_hash",
+) -> DataFrame:
+    """The batch with ``_repeat``: the row has a new key, but its content is already stored.
+
+    One join on the key for all rows; only rows of new keys look up their hash. Both stored sides
+    are unique, so no row is multiplied."""
+    marked = current.join(previous.select(key, F.lit(True).alias("_stored")), key, "left")
+    stored_hashes = previous.select(hash_col, F.lit(True).alias("_repeat")).distinct()
+    new = marked.where("_stored IS NULL").join(stored_hashes, hash_col, "left")
+    known = marked.where("_stored").withColumn("_repeat", F.lit(None).cast("boolean"))
+    return known.unionByName(new).withColumn("_repeat", F.coalesce("_repeat", F.lit(False))).drop("_stored")
+
+
 def known_hashes(
-    current: DataFrame, previous: DataFrame, key: str = "natural_key",
-    hash_col: str = "record_hash", seq: str = "_seq",
+    current: DataFrame, previous: DataFrame, key: str = "natural_key", hash_col: str = "record_hash",
 ) -> tuple[DataFrame, DataFrame]:
     """Split a batch into (rows to classify, rows of a new key whose content is already stored).
 
     The second part is logged as unchanged and not inserted. It is resolved before
     ``classify`` because such a row never becomes the previous version of the next one.
     """
-    stored_keys = previous.select(key)
-    stored_hashes = previous.select(hash_col).distinct()
-    repeated = current.join(stored_keys, key, "left_anti").join(
-        stored_hashes, hash_col, "left_semi"
-    )
-    return current.join(repeated.select(key, seq), [key, seq], "left_anti"), repeated
+    return split_known(flag_known(current, previous, key, hash_col))
+
+
+def split_known(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return flagged.where("NOT _repeat").drop("_repeat"), flagged.where("_repeat").drop("_repeat")
 
 
 def keep_one(df: DataFrame, keys: list[str], order_by: list[Column]) -> DataFrame:

@@ -7,7 +7,7 @@ import time
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake import constants as K
@@ -24,6 +24,7 @@ STAGING_TABLE = {
     "FIRMS": "stg_firms", "METEO": "stg_meteo", "INUMET": "stg_meteo", "CHIRPS": "stg_chirps",
     "MODIS": "stg_modis", "CAMS": "stg_calidad_aire",
 }
+PART = "parte"  # staging partition column
 DATE_COLUMN = {"FIRMS": "fecha_adq", "METEO": "fecha", "INUMET": "fecha", "CHIRPS": "fecha", "CAMS": "fecha"}
 
 
@@ -46,11 +47,22 @@ class RunOptions:
 class Warehouse:
     """Tables of one folder and the steps that fill them."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, grain: str = "day"):
+        """``grain`` (day, month or year) is the span of one staging partition, and so what a
+        single late row rewrites."""
         self.spark = spark
         self.tables = Tables(spark, root)
+        self.grain = grain
         self._logs: list[tuple] = []
 
+    def part(self, source: str) -> Column:
+        """Staging partition of a row, as text: 2024-01-31, 2024-01 or 2024; cover has years."""
+        if source not in DATE_COLUMN:
+            return F.concat(F.lit("y"), F.col("anio").cast("string"))
+        length = {"day": 10, "month": 7, "year": 4}[self.grain]
+        # The letter keeps the text from being read back as a date or a number.
+        return F.concat(F.lit("y"), F.substring(F.col(DATE_COLUMN[source]).cast("string"), 1, length))
+
     # Stage events collected on the driver (a few per run) and appended once.
     def log(self, source: str, stage: str, state: str, run_id: str = "", **detail) -> None:
         self._logs.append((run_id, source, stage, state, json.dumps(detail, default=str)))
@@ -63,10 +75,24 @@ class Warehouse:
             self.tables.append(rows, "pipeline_logs")
             self._logs = []
 
-    def load(self, source: str, raw: DataFrame, options: RunOptions = RunOptions()) -> dict:
-        """Filter, validate, detect changes, merge staging, audit; then promote unless smoke."""
-        started, run_id = time.time(), new_run_id()
+    def load(
+        self, source: str, raw: DataFrame, options: RunOptions = RunOptions(), run_id: str | None = None,
+    ) -> dict:
+        """Filter, validate, detect changes, audit, merge staging; then promote unless smoke.
+
+        A run with a given id happens once: a closed one is not repeated, and one that was cut
+        short keeps the events it had written, since a second look at the merged staging would
+        find nothing new. Audit rows are written before staging; the run row closes the run."""
+        started, run_id = time.time(), run_id or new_run_id()
         t = self.tables
+        closed = t.of_run("etl_runs", run_id)
+        if closed is not None:
+            row = closed.first()
+            return {
+                "leidas": row["filas_leidas"], "insertadas": row["filas_insertadas"],
+                "actualizadas": row["filas_actualizadas"], "rechazadas": row["filas_rechazadas"],
+                "run_id": run_id, "fuente": source, "estado": "ya_cargado",
+            }
         self.log(source, "inicio", "iniciado", run_id, smoke=options.smoke)
         rows = R.filter_options(
             raw, options.start_date, options.end_date, options.countries, options.max_records
@@ -81,25 +107,30 @@ class Warehouse:
             accepted = accepted.withColumn("anio", F.year(DATE_COLUMN[source]))
         if "fuente" not in accepted.columns:
             accepted = accepted.withColumn("fuente", F.lit(source))
+        accepted = accepted.withColumn(PART, self.part(source))
+        touched = affected(accepted, PART)
         years = affected(accepted, "anio")
         name = STAGING_TABLE[source]
         stored = t.read_or_empty(name, accepted.drop(N.SEQ))
         # The natural key holds the date, so only these partitions can hold its former version.
-        former = stored.where((F.col("fuente") == source) & F.col("anio").isin(years or [-1]))
-        fresh, repeated = C.known_hashes(accepted, former)
-        events = t.stage(
-            C.event_rows(C.classify(fresh, former), source, run_id)
-            .unionByName(C.repeated_hash_event_rows(repeated, source, run_id))
-            .unionByName(C.reject_event_rows(rejected, source, run_id)),
-            "eventos",
-        )
-        if years:
-            merged = C.merge(former, fresh)
-            t.replace_partitions(merged, name, ["fuente", "anio"], "natural_key")
-        t.append(rejected.drop(N.SEQ).select(
+        former = stored.where((F.col("fuente") == source) & F.col(PART).isin(touched or [""]))
+        flagged = t.stage(C.flag_known(accepted, former), "flagged")
+        fresh, repeated = C.split_known(flagged)
+        if t.of_run("cdc_eventos", run_id) is None:
+            t.write_run(
+                C.event_rows(C.classify(fresh, former), source, run_id)
+                .unionByName(C.repeated_hash_event_rows(repeated, source, run_id))
+                .unionByName(C.reject_event_rows(rejected, source, run_id))
+                .withColumn("registrado_en", F.current_timestamp()), "cdc_eventos")
+        t.write_run(rejected.drop(N.SEQ).select(
             F.lit(run_id).alias("run_id"), "fuente", "motivo", "registro",
             F.current_timestamp().alias("rechazado_en")), "rechazos_etl")
-        t.append(events.withColumn("registrado_en", F.current_timestamp()), "cdc_eventos")
+        if not options.skip_documents:
+            t.write_run(D.payload_documents(accepted, run_id, source), "doc_raw_payloads")
+            t.write_run(D.reject_documents(rejected, run_id), "doc_rechazos_etl")
+        if touched:
+            t.replace_partitions(C.merge(former, fresh), name, ["fuente", PART])
+        events = t.read_or_empty("cdc_eventos", C.reject_event_rows(rejected, source, run_id)).where(F.col("run_id") == run_id)
         counts = C.run_counters(events).first().asDict()
         latest = C.latest_date(accepted).first()[0]
         t.append(
@@ -109,11 +140,10 @@ class Warehouse:
             ),
             "etl_runs",
         )
-        if not options.skip_documents:
-            t.append(D.payload_documents(accepted, run_id, source), "doc_raw_payloads", ["fuente"])
-            t.append(D.reject_documents(rejected, run_id), "doc_rechazos_etl", ["fuente"])
         if not options.smoke and years:
             self.promote(source, years)
+        for step in (judged, flagged):
+            t.discard(step)
         self.log(source, "load", "ok", run_id, promocion_dw=not options.smoke, **counts)
         self.flush_logs()
         return {**counts, "run_id": run_id, "fuente": source, "estado": "cargado"}
@@ -140,7 +170,7 @@ class Warehouse:
                     touched.select("natural_key", *links), "natural_key", "left")
             else:
                 fact = A.reset_links(star.build_fact(stg))
-            t.replace_partitions(fact, "fact_incendio", ["anio"], "natural_key")
+            t.replace_partitions(fact, "fact_incendio", ["anio"])
             return
         region = "departamento" if source in ("METEO", "INUMET") else None
         t.replace(star.build_dim_location(stg, places, region, "ubicacion"), "dim_ubicacion")

@@ -43,26 +43,52 @@ class Tables:
         if self.read(name) is not None:
             df = self.stage(df, name)
         write_table(df, self.path(name), "overwrite", partition_by)
+        self.discard(df)
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise in the warehouse's scratch area; later steps read files, so a lost
         executor costs its own tasks only."""
         place = f"{self.root}/_work/{name}-{uuid.uuid4().hex}"
         df.write.parquet(place)
-        return self.spark.read.schema(df.schema).parquet(place)
-
-    def replace_partitions(
-        self, df: DataFrame, name: str, partition_by: list[str], spread_by: str, files: int = 64
-    ) -> None:
-        """Overwrite only the partitions present in ``df``. Each partition value is written by
-        up to ``files`` tasks, so a year holding most rows does not fall on one writer."""
+        found = self.spark.read.schema(df.schema).parquet(place)
+        found._place = place
+        return found
+
+    def discard(self, df: DataFrame) -> None:
+        """Remove the files of a staged frame once its target is written."""
+        place = getattr(df, "_place", None)
+        if place:
+            self._remove(place)
+
+    def _remove(self, place: str) -> None:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+    def replace_partitions(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
+        """Overwrite only the partitions present in ``df``. Rows are balanced by size: a large
+        partition is written by as many tasks as it needs, small ones share a task."""
         staged = df if self.read(name) is None else self.stage(df, name)
-        spread = F.pmod(F.xxhash64(spread_by), F.lit(files))
         (
-            staged.repartition(*[F.col(c) for c in partition_by], spread)
+            staged.hint("rebalance", *[F.col(c) for c in partition_by])
             .write.mode("overwrite").partitionBy(*partition_by)
             .option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
         )
+        self.discard(staged)
+
+    def write_run(self, df: DataFrame, name: str) -> None:
+        """Audit rows of one run, in a partition of their own: a repeated run replaces them."""
+        (
+            df.write.mode("overwrite").partitionBy("run_id")
+            .option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
+        )
+
+    def of_run(self, name: str, run_id: str) -> DataFrame | None:
+        """Stored rows of one run; None if there are none."""
+        found = self.read(name)
+        if found is None:
+            return None
+        found = found.where(F.col("run_id") == run_id)
+        return None if found.isEmpty() else found
 
 
 def write_table(

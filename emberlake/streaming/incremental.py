@@ -4,6 +4,8 @@ late rows are plain updates, so there is no watermark: the state is the staging
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +38,9 @@ def load_stream(
         ordered = batch.withColumn(
             SEQ, F.lit(batch_id << 42) + F.monotonically_increasing_id()
         )
-        results.append(warehouse.load(source, ordered, staged_only))
+        # A batch that is retried keeps its run: the checkpoint names the query, the number the batch.
+        run_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{checkpoint}#{source}#{batch_id}"))
+        results.append(warehouse.load(source, ordered, staged_only, run_id))
 
     query = (
         stream.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)

@@ -74,3 +74,48 @@ def test_shared_coordinates_and_reset(spark, rows):
     assert star.build_dim_location(stg, None, None, "ubicacion").first().ubicacion == "fray_bentos"
     cleared = A.reset_links(rows("natural_key string, clima_id string, clima_km double", ("a", "1", 2.0)))
     assert cleared.first().clima_id is None and set(A.LINK_COLUMNS) <= set(cleared.columns)
+
+
+def test_one_day_rewrites_one_staging_partition(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    house.load("FIRMS", spark.createDataFrame(DETECTIONS, DET), RunOptions(smoke=True))
+    times = lambda: {p.parent.name: p.stat().st_mtime_ns for p in (tmp_path / "stg_firms").rglob("*.parquet")}
+    before = times()
+    house.load("FIRMS", spark.createDataFrame([("2024-02-01", 200, -33.6, -56.5, "URY", 1.0, 70, 9)], DET), RunOptions(smoke=True))
+    after = times()
+    assert {k for k in after if before.get(k) != after[k]} == {"parte=y2024-02-01"}
+    assert not list((tmp_path / "_work").rglob("*.parquet"))
+
+
+def test_repeated_run_id_changes_nothing(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    batch = spark.createDataFrame(DETECTIONS, DET)
+    first = house.load("FIRMS", batch, RunOptions(smoke=True), run_id="batch-1")
+    tables = ("cdc_eventos", "rechazos_etl", "etl_runs", "doc_raw_payloads")
+    state = lambda: {n: sorted(map(str, house.tables.read(n).drop("registrado_en", "rechazado_en").collect())) for n in tables}
+    before = state()
+    assert house.load("FIRMS", batch, RunOptions(smoke=True), run_id="batch-1")["insertadas"] == first["insertadas"]
+    assert state() == before
+    # A run cut short before its closing row keeps the events of its first attempt.
+    house.tables._remove(house.tables.path("etl_runs"))
+    again = house.load("FIRMS", batch, RunOptions(smoke=True), run_id="batch-1")
+    assert (again["insertadas"], again["sin_cambio"]) == (2, 0)
+    assert {n: v for n, v in state().items() if n != "etl_runs"} == {n: v for n, v in before.items() if n != "etl_runs"}
+
+
+def test_later_file_wins_whatever_its_size(spark, tmp_path):
+    import os
+
+    landing = str(tmp_path / "in")
+    big = [("2024-01-01", "URY", "P", -33.1, -56.1, 2.0)] + [("2024-01-02", "URY", f"P{i}", -33.1, -56.1 + i / 1e4, 3.0) for i in range(500)]
+    small = [("2024-01-01", "URY", "P", -33.1, -56.1, 1.0)]
+    for k, data in enumerate((small, big)):
+        spark.createDataFrame(data, RAIN).coalesce(1).write.mode("append").parquet(landing)
+        for path in (tmp_path / "in").glob("*.parquet"):
+            if path.name not in getattr(test_later_file_wins_whatever_its_size, "seen", set()):
+                os.utime(path, (1_700_000_000 + k, 1_700_000_000 + k))
+        test_later_file_wins_whatever_its_size.seen = {p.name for p in (tmp_path / "in").glob("*.parquet")}
+    house = Warehouse(spark, str(tmp_path / "wh"))
+    house.load("CHIRPS", spark.read.parquet(landing), RunOptions(smoke=True))
+    kept = house.tables.read("stg_chirps").where("fecha = '2024-01-01'").collect()
+    assert [float(r.precipitacion_mm) for r in kept] == [2.0]
