@@ -4,7 +4,9 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from emberlake.catalog import queries_core, queries_forms, queries_relational, queries_reports  # noqa: F401
+    from emberlake.catalog import (  # noqa: F401
+        queries_core, queries_files, queries_forms, queries_relational, queries_reports,
+    )
 
 
 def queries() -> dict:
