@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberlake.llm import (
-    decontaminate, jaccard, language, packing, repeats, reputation, secret_scan, sharding, topk, toxicity,
+    decontaminate, jaccard, language, packing, reference_sql, repeats, reputation, secret_scan, sharding, topk, toxicity,
 )
 from emberlake.llm.common import read_table
 from emberlake.llm.language import fold_of
@@ -57,7 +57,7 @@ def op4_secret_linking(spark: SparkSession, folder: str) -> DataFrame:
 def op5_url_reputation(spark: SparkSession, folder: str) -> DataFrame:
     pages = read_table(spark, folder, "pages")
     return reputation.filter_urls(pages, reputation.page_outcome(F.col("html"))).select(
-        "page_id", "host", "path", "rule", "verdict", "bad_rate_bound")
+        "page_id", "host", "path", "rule", "verdict")
 
 
 def op6_hyperdimensional_language(spark: SparkSession, folder: str) -> DataFrame:
@@ -101,4 +101,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hilbert_sharding": op9_hilbert_sharding,
     "op10_histogram_topk": op10_histogram_topk,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_url_reputation": reference_sql.url_filter(reputation.Z, reputation.LIMIT, *reputation.STRENGTHS, reputation.BAD_SHARE),
+    "op7_ngram_jaccard_join": reference_sql.JACCARD,
+    "op10_histogram_topk": reference_sql.TOP_K,
+}

@@ -25,6 +25,7 @@ RULES = (
 )
 Z = 1.645  # one-sided 95 %
 LIMIT = 0.5
+BAD_SHARE = 0.1  # of a page's words
 STRENGTHS = (1.0, 1000.0)
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARTS = r"(?s)^.*?://([^/?#]*)([^?#]*)"
@@ -48,12 +49,12 @@ def rule_columns(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
     return name, verdict
 
 
-def page_outcome(html: Column, share: float = 0.1) -> Column:
+def page_outcome(html: Column, share: float = BAD_SHARE) -> Column:
     """1 for a bad page, 0 for a good one, null without words: bad if more than ``share`` of its
     words end in a run of three or more symbols, as text that lost its encoding does."""
-    text = F.regexp_replace(html, r"(?s)<(script|style)\b.*?</\1>|<!--.*?-->|<[^>]*>", " ")
+    text = F.regexp_replace(html, r"(?s)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>", " ")
     words = F.regexp_count(text, F.lit(r"\S+"))
-    junk = F.regexp_count(text, F.lit(r"(?:[%#*$~^|]{3,}|(?:&amp;){3,}|&{3,})(?=\s|$)"))
+    junk = F.regexp_count(text, F.lit(r"(?:[%#*$~^|]{3,}|(?:&amp;){3,}|&{3,})(?:\s|$)"))
     return F.when(words > 0, (junk > share * words).cast("int"))
 
 
