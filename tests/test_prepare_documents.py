@@ -106,7 +106,7 @@ def test_sanitised_json(rows):
     assert out["api_key"] == "[REDACTED]" and out["in"]["Token"] == "[REDACTED]" and out["user"] == "a"
     assert out["n"] == 1.5 and out["on"] is True and out["none"] is None and out["list"] == list(range(20))
     assert out["in"]["deep"]["deeper"] == {"deepest": 1}
-    nested = {"credentials": {"a": [1, {"b": "}"}]}, "rows": [{"Secret": None, "k": "token: x"}], "a\\"token": 1}
+    nested = {"credentials": {"a": [1, {"b": "}"}]}, "rows": [{"Secret": None, "k": "token: x"}], 'a"token': 1}
     clean = json.loads(rows("j string", (json.dumps(nested),)).select(D.sanitize_json(F.col("j"))).first()[0])
     assert clean["credentials"] == "[REDACTED]" and clean["rows"] == [{"Secret": "[REDACTED]", "k": "token: x"}]
 
