@@ -7,8 +7,9 @@ number, which is enough for an order and bounds what is broadcast.
 
 Classes that hold a token in their prefix form its group. Pairs inside a group are never listed:
 
-* first every class is compared with the one group head (the smallest class of a group) with
-  which it shares the most prefix tokens; what links there forms preliminary components;
+* in each of a few rounds every group draws a head by hash, and every class is compared with the
+  head outside its component with which it shares the most prefix tokens; what links there forms
+  preliminary components, and rounds end early when few pairs of components remain;
 * then only pairs of classes in different components are looked at. In each group the members of
   the largest component are the trunk; the others meet the trunk and each other. Pairs are
   filtered by size and by the number of shared prefix tokens and verified on whole sets.
@@ -36,7 +37,9 @@ from emberlake.llm.components import components
 
 WORDS = 5
 PERCENT = 75
-COUNTERS = 1 << 22
+COUNTERS = 1 << 21
+ROUNDS = 8  # of meetings with group heads, before all remaining pairs of parts are looked at
+PAIRS_PER_ROW = 2  # remaining pairs, as a multiple of the groups' rows, that end the rounds early
 
 _state: dict = {}
 
@@ -197,6 +200,11 @@ def _sets(words: int):
     return make
 
 
+def _renamed(rows: DataFrame, change: DataFrame) -> DataFrame:
+    """``rows`` with their column ``part`` replaced where it was joined to another."""
+    return rows.join(change, "part", "left").withColumn("part", F.coalesce("joined", "part")).drop("joined")
+
+
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, counters: int):
         self.words, self.percent, self.counters = words, percent, counters
@@ -223,33 +231,49 @@ class _Join:
         found = self.keyed.mapInArrow(_prefixes(self.words, self.percent, order, schema), schema)
         return staged(found.dropDuplicates(["first", "second"]).withColumn("uid", F.monotonically_increasing_id()), "prefixes")
 
-    def texts_of(self, classes: DataFrame, uids: DataFrame) -> DataFrame:
+    def whole_sets(self, classes: DataFrame, uids: DataFrame) -> DataFrame:
         """Whole sets of the given classes."""
         wanted = classes.join(uids.distinct(), "uid", "left_semi").select("uid", "id", "text_hash")
         texts = self.keyed.alias("d").join(
             wanted.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
         ).select("w.uid", "d.text")
-        return texts.mapInArrow(_sets(self.words), "uid bigint, tokens array<bigint>")
+        # Rows of equal id and text give equal sets; a pair that meets both is the same pair.
+        return staged(texts.mapInArrow(_sets(self.words), "uid bigint, tokens array<bigint>"), "sets")
 
-    def linked(self, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs (a, b) whose whole sets reach the threshold."""
         pairs = staged(pairs, "pairs")
-        ends = pairs.select(F.col("a").alias("uid")).unionByName(pairs.select(F.col("b").alias("uid")))
-        # Texts with equal id and text give equal sets: any one will do.
-        sets = staged(self.texts_of(classes, ends), "sets")
         one = sets.select(F.col("uid").alias("a"), F.col("tokens").alias("left"))
         two = sets.select(F.col("uid").alias("b"), F.col("tokens").alias("right"))
         both = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - both
         found = staged(
             pairs.join(one, "a").join(two, "b").where(both * 100 >= union * self.percent).select("a", "b").distinct(), "links")
-        discard(sets, pairs)
+        discard(pairs)
         return found
 
+    def merged(self, parts: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(part, joined) for the parts that links connect, and ``parts`` (uid, part) after it."""
+        bridges = (
+            links.join(parts.select(F.col("uid").alias("a"), F.col("part").alias("left")), "a")
+            .join(parts.select(F.col("uid").alias("b"), F.col("part").alias("right")), "b")
+            .select(F.col("left").alias("a"), F.col("right").alias("b")).distinct())
+        change = staged(components(staged(bridges, "bridges")).select(
+            F.col("node").alias("part"), F.col("component").alias("joined")), "merged")
+        return change, staged(_renamed(parts, change), "parts")
+
     def near(self, n: Column, m: Column) -> Column:
         return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
 
 
+def _trunks(members: DataFrame) -> DataFrame:
+    """Per token of several parts: its rows, and the number of rows and name of its largest part."""
+    return (
+        members.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
+        .groupBy("token").agg(F.max(F.struct("k", "part")).alias("most"), F.sum("k").alias("rows"), F.count(F.lit(1)).alias("parts"))
+        .where("parts > 1"))
+
+
 def similar_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
     percent: int = PERCENT, counters: int = COUNTERS,
@@ -263,58 +287,58 @@ def similar_components(
     classes = staged(prefixes.drop("prefix"), "classes")
     tokens = prefixes.select(F.explode("prefix").alias("token"), "uid", "n")
 
-    # Groups of at least two classes, each with its head.
-    heads = staged(
-        tokens.groupBy("token").agg(F.min("uid").alias("head"), F.max("uid").alias("last"))
-        .where("last > head").select("token", "head"), "heads")
-    alive = staged(tokens.join(heads, "token"), "alive")
-    discard(prefixes, heads)
-    shared = alive.where("uid != head").groupBy("uid", "head").agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("n"))
-    sized = classes.select(F.col("uid").alias("head"), F.col("n").alias("m"))
-    best = (
-        shared.join(sized, "head").where(join.near(F.col("n"), F.col("m")))
-        .groupBy("uid").agg(F.max(F.struct("c", "head")).alias("best"))
-        .select(F.col("uid").alias("a"), F.col("best.head").alias("b")))
-    first_links = join.linked(best, classes)
-    known = staged(components(first_links), "known")
-
-    # Pairs of different components. Classes without a link are components of their own.
-    members = staged(
-        alive.select("token", "uid", "n").join(known.withColumnRenamed("node", "uid"), "uid", "left")
-        .select("token", "uid", "n", F.coalesce("component", "uid").alias("component")), "members")
-    trunks = (
-        members.groupBy("token", "component").agg(F.count(F.lit(1)).alias("k"))
-        .groupBy("token").agg(F.max(F.struct("k", "component")).alias("most"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1").select("token", F.col("most.component").alias("trunk")))
-    mixed_rows = staged(members.join(trunks, "token"), "mixed")
-    discard(alive, members)
-    others = mixed_rows.where("component != trunk").select(
-        "token", F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("own"))
+    # Groups of at least two classes.
+    shared = staged(
+        tokens.groupBy("token").agg(F.min("uid").alias("least"), F.max("uid").alias("most"))
+        .where("least < most").select("token"), "shared")
+    members = staged(tokens.join(shared, "token", "left_semi").withColumn("part", F.col("uid")), "members")
+    discard(prefixes, shared)
+    sets = join.whole_sets(classes, members.select("uid"))
+    parts = staged(classes.select("uid", F.col("uid").alias("part")), "parts")
+    enough = PAIRS_PER_ROW * members.count()
+
+    for turn in range(ROUNDS):
+        # A group whose classes are all of one part can give no further link and is left.
+        chosen = F.min_by(F.struct("uid", "part", "n"), F.xxhash64("uid", F.lit(turn)))
+        heads = staged(
+            members.groupBy("token").agg(chosen.alias("head"), F.min("part").alias("least"), F.max("part").alias("most"))
+            .where("least < most").select("token", "head"), "heads")
+        met = staged(members.join(heads, "token"), "met")
+        discard(members, heads)
+        best = (
+            met.where((F.col("part") != F.col("head.part")) & join.near(F.col("n"), F.col("head.n")))
+            .groupBy("uid", F.col("head.uid").alias("other")).agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("uid").agg(F.max(F.struct("c", "other")).alias("best"))
+            .select(F.col("uid").alias("a"), F.col("best.other").alias("b")))
+        links = join.linked(best, sets)
+        joined = links.count()
+        change, parts = join.merged(parts, links)
+        members = staged(_renamed(met.drop("head"), change), "members")
+        discard(met)
+        trunks = _trunks(members)
+        left = trunks.agg(F.sum((F.col("rows") - F.col("most.k")) * F.col("rows"))).collect()[0][0] or 0
+        if joined == 0 or left <= enough:
+            break
+
+    # Pairs of different parts, each group's largest part being its trunk.
+    mixed_rows = staged(members.join(trunks.select("token", F.col("most.part").alias("trunk")), "token"), "mixed")
+    discard(members)
+    others = mixed_rows.where("part != trunk").select(
+        "token", F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("own"))
     everyone = mixed_rows.select(
-        "token", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("other"),
-        (F.col("component") == F.col("trunk")).alias("in_trunk"))
-    met = others.join(everyone, "token")
+        "token", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("other"),
+        (F.col("part") == F.col("trunk")).alias("in_trunk"))
     # The shared prefix tokens and what may follow them must reach the overlap that is asked for.
     need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     after = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
     candidates = (
-        met.where((F.col("own") != F.col("other")) & (F.col("in_trunk") | (F.col("a") < F.col("b")))
-                  & join.near(F.col("n_a"), F.col("n_b")))
+        others.join(everyone, "token")
+        .where((F.col("own") != F.col("other")) & (F.col("in_trunk") | (F.col("a") < F.col("b")))
+               & join.near(F.col("n_a"), F.col("n_b")))
         .groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
         .where(F.col("c") + after >= need).select("a", "b"))
-    # Further links join whole components: a graph with one node for each.
-    named = classes.select("uid").join(known.withColumnRenamed("node", "uid"), "uid", "left").select(
-        "uid", F.coalesce("component", "uid").alias("part"))
-    named = staged(named, "parts")
-    bridges = (
-        join.linked(candidates, classes)
-        .join(named.select(F.col("uid").alias("a"), F.col("part").alias("left")), "a")
-        .join(named.select(F.col("uid").alias("b"), F.col("part").alias("right")), "b")
-        .select(F.col("left").alias("a"), F.col("right").alias("b")).distinct())
-    joined = staged(components(staged(bridges, "bridges")), "components")
-    final = named.join(joined.withColumnRenamed("node", "part"), "part", "left").select(
-        "uid", F.coalesce("component", "part").alias("component"))
-    groups = classes.select("first", "second", "uid").join(final, "uid").select("first", "second", "component")
+    parts = join.merged(parts, join.linked(candidates, sets))[1]
+    groups = classes.select("first", "second", "uid").join(parts, "uid").select("first", "second", F.col("part").alias("component"))
     placed = staged(sizes.join(groups, ["first", "second"], "left"), "placed")
     least = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     return placed.join(least, "component", "left").select(
