@@ -140,6 +140,9 @@ class Warehouse:
             ),
             "etl_runs",
         )
+        if not options.skip_documents:
+            # One partition a run: writing a run again replaces its document.
+            t.write_run(D.run_documents(t.read("etl_runs").where(F.col("run_id") == run_id)), "doc_ingesta_metadata")
         if not options.smoke and years:
             self.promote(source, years)
         for step in (judged, flagged):
@@ -211,6 +214,8 @@ class Warehouse:
         ).withColumn("ejecutado_en", F.current_timestamp())
         staged = t.stage(audit, "asociacion")
         t.append(staged, "asociacion_runs")
+        # Today's snapshot by country; a second one on the same day replaces it.
+        t.replace_partitions(D.detection_snapshot(t.read("fact_incendio"), F.current_date()), "doc_snapshots_firms", ["fecha"])
         self.refresh_summaries()
         return staged
 

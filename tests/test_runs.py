@@ -27,7 +27,10 @@ def test_load_replay_correction_and_association(spark, tmp_path):
     assert house.load("FIRMS", spark.createDataFrame(fixed, DET))["actualizadas"] == 1
     fact = {r.fecha.month: r for r in house.tables.read("fact_incendio").collect()}
     assert len(fact) == 2 and float(fact[1].frp_mw) == 9.5 and fact[1].precipitacion_id is not None
-    assert house.tables.read("etl_runs").count() == 4
+    assert house.tables.read("etl_runs").count() == house.tables.read("doc_ingesta_metadata").count() == 4
+    house.associate()
+    snapshot = house.tables.read("doc_snapshots_firms").collect()
+    assert [(r.pais_codigo, r.total_focos) for r in snapshot] == [("URY", 2)]
     events = house.tables.read("cdc_eventos").groupBy("tipo_evento").count().collect()
     assert {r.tipo_evento: r["count"] for r in events} == {"alta": 3, "sin_cambio": 2, "modificacion": 1, "rechazo": 2}
     saved = house.tables.read("mv_incendios_pais_periodo")
@@ -91,7 +94,7 @@ def test_repeated_run_id_changes_nothing(spark, tmp_path):
     house = Warehouse(spark, str(tmp_path))
     batch = spark.createDataFrame(DETECTIONS, DET)
     first = house.load("FIRMS", batch, RunOptions(smoke=True), run_id="batch-1")
-    tables = ("cdc_eventos", "rechazos_etl", "etl_runs", "doc_raw_payloads")
+    tables = ("cdc_eventos", "rechazos_etl", "etl_runs", "doc_raw_payloads", "doc_ingesta_metadata")
     state = lambda: {n: sorted(map(str, house.tables.read(n).drop("registrado_en", "rechazado_en").collect())) for n in tables}
     before = state()
     assert house.load("FIRMS", batch, RunOptions(smoke=True), run_id="batch-1")["insertadas"] == first["insertadas"]
