@@ -34,6 +34,16 @@ CACHED = 400_000  # distinct words a worker remembers, twice
 _words: dict = {}
 
 
+def _plain(word: str) -> tuple[str, str]:
+    """A word without case and without a closing comma or full stop, and that mark: the tokenizer
+    lower-cases, and cuts between a letter and a mark, so the ids are those of both in turn. Only
+    Latin letters are sure to stay letters when it normalises; special tokens keep their case."""
+    mark = ""
+    if len(word) > 1 and word[-1] in ",." and word[-2].isalpha() and word[-2] <= "\xff":
+        word, mark = word[:-1], word[-1]
+    return (word.lower() if word.isascii() and "<" not in word else word), mark
+
+
 class _Words:
     """Ids of blank-separated words. The tokenizer drops blanks before it merges, so the ids of
     a text are those of its words in turn; most words repeat and are looked up."""
@@ -42,6 +52,7 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in ("", ",", ".")}
         self.recent: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -52,11 +63,17 @@ class _Words:
         known = new & older.keys()
         for word in known:
             recent[word] = older[word]
-        new = list(new - known)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
+        plain = {word: _plain(word) for word in new - known}
+        cores = {core for core, _ in plain.values()} - recent.keys()
+        for word in cores & older.keys():
+            recent[word] = older[word]
+        cores = list(cores - recent.keys())
+        for at in range(0, len(cores), 20_000):
+            part = cores[at : at + 20_000]
             for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
                 recent[word] = np.array(code.ids, dtype="<u4").tobytes()
+        for word, (core, mark) in plain.items():
+            recent[word] = recent[core] + self.marks[mark]
         found = [b"".join(map(recent.__getitem__, row)) for row in rows]
         if len(recent) > CACHED:
             self.recent, self.older = {}, recent

@@ -41,7 +41,7 @@ def verify(spark, rows, capacity, **options):
 
 def test_pieces_and_places(spark):
     rng = random.Random(2)
-    words = ["Hello", "wörld's", "x\x1cy", "a\u00a0b", "don't", "123abc", "émile,", "%%%", "line\u2028sep", "tab\tbed", "İx", "ΑΣ"]
+    words = ["Hello", "wörld's", "x\x1cy", "a\u00a0b", "don't", "123abc", "émile,", "%%%", "line\u2028sep", "tab\tbed", "İx", "ΑΣ", "İ.", "É,", "x,,", "Z's.", "5.", "<|ENDOFTEXT|>", "a,."]
     rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60))) + rng.choice(["", "\n", "\r\nz"])) for i in range(150)]
     rows += [(1, None), (2, ""), (2, ""), (None, "no id"), (900, "long " * 500)]
     count, total = verify(spark, rows, 64)
