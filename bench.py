@@ -26,7 +26,7 @@ HEADLINE = (
     "m01_fires_by_country_month", "m02_fires_by_region", "m03_fires_by_zone",
     "m05_fires_and_weather", "m06_fires_and_rain", "m07_fires_and_cover", "m08_air_on_active_days",
     "q01_country_summary", "q09_top_zones", "q11_activity_levels", "v03_duplicate_keys",
-    "v07_broken_links", "g02_point_in_country", "m09_run_quality", "t02_prepare",
+    "v07_broken_links", "g02_point_in_country", "m09_run_quality", "t02_prepare_detections",
 )
 BUILD = (
     "stg_firms", "stg_meteo", "stg_chirps", "stg_modis", "stg_calidad_aire", "dim_date",

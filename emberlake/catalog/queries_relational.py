@@ -100,17 +100,20 @@ add("j15_climatology",
 
 # --- aggregates -------------------------------------------------------------------------------
 
-_MONEY = F.col("l_extendedprice").cast("decimal(12,3)")
+def _money():
+    return F.col("l_extendedprice").cast("decimal(12,3)")
+
+
 add("ag01_basic",
     lambda d: d.given("lineitem").groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("n"), F.count("l_quantity").alias("nq"), F.sum(_MONEY).alias("suma"), F.min("l_quantity").alias("minimo"),
-        F.max("l_quantity").alias("maximo"), S.exact_mean(F.sum(_MONEY), F.count(_MONEY), 3).alias("media")),
+        F.count("*").alias("n"), F.count("l_quantity").alias("nq"), F.sum(_money()).alias("suma"), F.min("l_quantity").alias("minimo"),
+        F.max("l_quantity").alias("maximo"), S.exact_mean(F.sum(_money()), F.count(_money()), 3).alias("media")),
     f"""SELECT l_returnflag, l_linestatus, COUNT(*) AS n, COUNT(l_quantity) AS nq, SUM(CAST(l_extendedprice AS DECIMAL(12,3))) AS suma, MIN(l_quantity) AS minimo,
         MAX(l_quantity) AS maximo, {avg("CAST(l_extendedprice AS DECIMAL(12,3))", 3)} AS media FROM lineitem GROUP BY 1, 2""",
     l_returnflag="s", l_linestatus="s", n="i", nq="i", suma="f", minimo="f", maximo="f", media="f")
 add("ag03_weighted_mean",
     lambda d: d.given("lineitem").groupBy("l_suppkey").agg(
-        F.sum(_MONEY).alias("s"), F.sum(F.nullif(F.col("l_linenumber"), F.lit(7)).cast("long")).alias("w"))
+        F.sum(_money()).alias("s"), F.sum(F.nullif(F.col("l_linenumber"), F.lit(7)).cast("long")).alias("w"))
     .select("l_suppkey", F.coalesce(S.exact_mean(F.col("s"), F.nullif("w", F.lit(0)), 3), F.lit(0)).alias("media")),
     f"""SELECT l_suppkey, COALESCE({mean("SUM(CAST(l_extendedprice AS DECIMAL(12,3)))",
         "COALESCE(SUM(NULLIF(l_linenumber, 7)), 0)", 3)}, 0) AS media FROM lineitem GROUP BY 1""", l_suppkey="i", media="f")

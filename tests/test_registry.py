@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import duckdb
 import pytest
 
@@ -27,3 +31,8 @@ def test_query_equals_its_sql(spark, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_registry_is_read_without_a_session():
+    code = "import __spark_entry__ as e; assert e.queries() and set(e.oracle_sql()) <= set(e.queries())"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[1])
