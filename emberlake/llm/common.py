@@ -31,11 +31,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives lost
     executors, and gives every later reader the same rows."""
     spark = df.sparkSession
-    release(spark)
     place = f"{shared_folder(spark)}/llm/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(place)
     found = spark.read.schema(df.schema).parquet(place)
     found._place = place
+    release(spark)
     return found
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlake.llm.common import Rolling, byte_slices, staged
+from emberlake.llm.common import Rolling, byte_slices, discard, staged
 
 THRESHOLD = 400
 DEPTH = 128
@@ -216,6 +216,13 @@ def repeated_spans(
     threshold: int = THRESHOLD, depth: int = DEPTH, group: int = GROUP,
 ) -> DataFrame:
     """(id, text_hash, start, end): bytes of a text that repeated windows cover, not yet merged."""
+    return _repeated_spans(docs, id_col, text_col, threshold, depth, group)[0]
+
+
+def _repeated_spans(
+    docs: DataFrame, id_col: str, text_col: str, threshold: int, depth: int, group: int,
+) -> tuple[DataFrame, list[DataFrame]]:
+    """The spans and the staged tables they are computed from."""
     kind = docs.schema[id_col].dataType
     keyed = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash"),
@@ -232,6 +239,7 @@ def repeated_spans(
     # First digit: anchors that occur once end here.
     repeated = staged(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"), "anchors")
     alive = staged(runs.join(repeated, "anchor", "left_semi"), "alive")
+    discard(runs, repeated)
 
     # Second digit: equal runs, with their number and the place of one of them.
     classes = staged(alive.groupBy("anchor", "first", "second").agg(
@@ -270,13 +278,15 @@ def repeated_spans(
         .groupBy(F.pmod(F.xxhash64("anchor", "slice"), F.lit(batches)).alias("batch"))
         .applyInPandas(_repeated_windows, "first bigint, second bigint, places array<smallint>")
     )
+    windows = staged(parts, "windows")
+    discard(wanted)
     partly = (
-        staged(parts, "windows").join(classes.where("n = 1").select("first", "second", "at"), ["first", "second"])
+        windows.join(classes.where("n = 1").select("first", "second", "at"), ["first", "second"])
         .select("at.id", "at.text_hash", "at.start", F.explode("places").alias("place"))
         .select("id", "text_hash", (F.col("start") + F.col("place")).alias("start"),
                 (F.col("start") + F.col("place") + threshold).alias("end"))
     )
-    return whole.unionByName(partly)
+    return whole.unionByName(partly), [alive, classes, windows]
 
 
 def remove_repeats(
@@ -284,9 +294,10 @@ def remove_repeats(
     threshold: int = THRESHOLD, depth: int = DEPTH, group: int = GROUP,
 ) -> DataFrame:
     """Per row: id, n_bytes, the removed spans (maximal, in bytes) and the bytes that stay."""
-    spans = repeated_spans(docs, id_col, text_col, threshold, depth, group).distinct()
-    listed = spans.groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    listed = staged(listed, "spans")
+    spans, steps = _repeated_spans(docs, id_col, text_col, threshold, depth, group)
+    listed = staged(
+        spans.distinct().groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "end")).alias("spans")), "spans")
+    discard(*steps)
     keyed = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash"),
         F.col(text_col).alias("text"))
