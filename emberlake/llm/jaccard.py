@@ -38,7 +38,8 @@ from emberlake.llm.components import components
 WORDS = 5
 PERCENT = 75
 COUNTERS = 1 << 21
-ROUNDS = 8  # of meetings with group heads, before all remaining pairs of parts are looked at
+ROUNDS = 4  # of meetings with group heads, before all remaining pairs of parts are looked at
+FEW = 10  # a round that links less than one in FEW of the first round's links is the last
 PAIRS_PER_ROW = 2  # remaining pairs, as a multiple of the groups' rows, that end the rounds early
 
 _state: dict = {}
@@ -312,12 +313,13 @@ def similar_components(
             .select(F.col("uid").alias("a"), F.col("best.other").alias("b")))
         links = join.linked(best, sets)
         joined = links.count()
+        first = joined if turn == 0 else first
         change, parts = join.merged(parts, links)
         members = staged(_renamed(met.drop("head"), change), "members")
         discard(met)
         trunks = _trunks(members)
         left = trunks.agg(F.sum((F.col("rows") - F.col("most.k")) * F.col("rows"))).collect()[0][0] or 0
-        if joined == 0 or left <= enough:
+        if joined * FEW <= first or left <= enough:
             break
 
     # Pairs of different parts, each group's largest part being its trunk.
