@@ -333,10 +333,15 @@ def similar_components(
     # The shared prefix tokens and what may follow them must reach the overlap that is asked for.
     need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
     after = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
+    # Which side of a pair is outside the trunk differs by token; its tokens are counted together.
+    ahead = F.col("a") < F.col("b")
     candidates = (
         others.join(everyone, "token")
-        .where((F.col("own") != F.col("other")) & (F.col("in_trunk") | (F.col("a") < F.col("b")))
+        .where((F.col("own") != F.col("other")) & (F.col("in_trunk") | ahead)
                & join.near(F.col("n_a"), F.col("n_b")))
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
+                F.when(ahead, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
+                F.when(ahead, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
         .groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
         .where(F.col("c") + after >= need).select("a", "b"))
     parts = join.merged(parts, join.linked(candidates, sets))[1]

@@ -60,6 +60,31 @@ def test_components_match_brute_force(spark):
     assert found(spark, rows) == brute(rows)
 
 
+def test_bridges_between_clusters_are_found(spark):
+    rng = random.Random(9)
+    fresh = lambda n: [f"t{rng.randint(0, 10**9)}" for _ in range(n)]
+    texts = []
+    for _ in range(60):  # b links with a1 alone, at 86 of 114; a2 is a copy of a1 that lacks 6 of them
+        a1 = fresh(104)
+        a2 = a1[:40] + fresh(2) + a1[42:]
+        texts += [a1, a2, a1[:90] + fresh(14)]
+    for _ in range(15):  # clusters in a row, each bridged to the next by its first text
+        base = fresh(104)
+        for step in range(4):
+            texts.append(base)
+            for _ in range(rng.randint(0, 3)):
+                at, n = rng.randrange(10, 90), rng.randint(1, 2)
+                texts.append(base[:at] + fresh(n) + base[at + n:])
+            keep = rng.choice((90, 91))
+            base = base[:keep] + fresh(104 - keep) if step % 2 else fresh(104 - keep) + base[-keep:]
+    texts = [" ".join(t) for t in texts]
+    rng.shuffle(texts)
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = sorted((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in similar_components(docs, counters=1 << 20).collect())
+    assert got == brute(rows)
+
+
 def test_edges(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "One two"), (5, "one  TWO"), (6, "one two three"), (6, "one two three"),
             (7, "É a b c d"), (8, "é a b c d"), (None, "alone here"), (None, "one two"), (9, "x " * 30), (10, "x " * 40)]
