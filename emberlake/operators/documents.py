@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -92,21 +94,45 @@ def sanitize_map(column: Column) -> Column:
     return F.transform_values(column, lambda key, value: F.when(sensitive(key), "[REDACTED]").otherwise(value))
 
 
-def _json_value(depth: int = 6) -> str:
-    """Pattern of a JSON value, with objects and arrays nested up to ``depth``."""
-    text = r'"(?:[^"\\]|\\.)*+"'
-    value = rf'(?:{text}|[^\s,\[\]{{}}"]++)'
-    for _ in range(depth):
-        inside = rf'(?:[^\[\]{{}}"]++|{text}|{value})*+'
-        value = rf'(?:{text}|\{{{inside}\}}|\[{inside}\]|[^\s,\[\]{{}}"]++)'
-    return value
+_STRING = re.compile(r'"(?:[^"\\]|\\.)*+"(\s*:\s*)?', re.A | re.S)
+_SENSITIVE = re.compile("|".join(K.SENSITIVE_KEYS), re.I | re.A)
+_NESTED = re.compile(r'"(?:[^"\\]|\\.)*+(?:"|\Z)|[\[\]{}]', re.S)
+_PLAIN = re.compile(r"[^\s,\[\]{}\"]*", re.A)
+
+
+def _value_end(text: str, at: int) -> int:
+    """Where the JSON value that starts at ``at`` ends; a value that is cut short ends with the text."""
+    if text[at : at + 1] not in ('"', "{", "["):
+        return _PLAIN.match(text, at).end()
+    depth = 0
+    for token in _NESTED.finditer(text, at):
+        depth += (token[0] in "{[") - (token[0] in "]}")
+        if depth <= 0:
+            return token.end()
+    return len(text)
+
+
+def _redacted(text: str) -> str:
+    """One pass over the strings of a JSON text; nothing inside a redacted value is looked at."""
+    out, kept, at = [], 0, 0
+    while found := _STRING.search(text, at):
+        at = found.end()
+        if found[1] is not None and _SENSITIVE.search(text, found.start(), found.start(1)):
+            end = _value_end(text, at)
+            if end > at:
+                out += text[kept:at], '"[REDACTED]"'
+                kept = at = end
+    return "".join((*out, text[kept:]))
 
 
 def sanitize_json(column: Column) -> Column:
     """The same for JSON text, at every depth: the value of a sensitive key becomes "[REDACTED]",
-    whatever its type; everything else stays as it is written."""
-    key = rf'(?<!\\)"(?:[^"\\]|\\.)*?(?:{"|".join(K.SENSITIVE_KEYS)})(?:[^"\\]|\\.)*+"\s*:\s*'
-    return F.regexp_replace(column, rf'(?i)({key}){_json_value()}', '$1"[REDACTED]"')
+    whatever its type and however deep it nests; everything else stays as it is written."""
+
+    def redact(texts: pd.Series) -> pd.Series:
+        return texts.map(_redacted, na_action="ignore")
+
+    return F.pandas_udf(redact, "string")(column)
 
 
 SCOPE_PATHS = (

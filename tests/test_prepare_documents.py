@@ -126,3 +126,32 @@ def test_no_cover_label_and_unlinked_facts(rows):
     cover = rows("cobertura_id string, descripcion_cobertura string", ("c", "Pastizal"))
     out = {r.cobertura: (r.focos, float(r.frp_promedio_mw)) for r in M.fires_and_cover({"fact": fact, "dim_cover": cover}).collect()}
     assert out == {"Sin dato MODIS": (1, 1.0), "Pastizal": (2, 2.0)}
+
+
+def test_redaction_has_no_depth_limit(rows):
+    def nested(levels):
+        value = "s3cret"
+        for i in range(levels):
+            value = {"k": value} if i % 2 else [value, "}]"]
+        return value
+
+    for levels in (6, 7, 10, 100, 3000):
+        doc = '{"a": [1, {"Token" : ' + _dump(nested(levels)) + ', "b":  "x"}], "password":"y", "token_n": 12}'
+        out = rows("j string", (doc,)).select(D.sanitize_json(F.col("j"))).first()[0]
+        assert out == '{"a": [1, {"Token" : "[REDACTED]", "b":  "x"}], "password":"[REDACTED]", "token_n": "[REDACTED]"}'
+    cut = rows("j string", ('{"a": 1, "token": {"b": "s3cret"',), (None,), ('{"a": "token", "token":}',))
+    assert [r[0] for r in cut.select(D.sanitize_json(F.col("j"))).collect()] == [
+        '{"a": 1, "token": "[REDACTED]"', None, '{"a": "token", "token":}']
+
+
+def _dump(value):
+    """``json.dumps`` without its bound on nesting."""
+    closing, out = [], ""
+    while not isinstance(value, str):
+        if isinstance(value, dict):
+            out, value = out + '{"k": ', value["k"]
+            closing.append("}")
+        else:
+            out, value = out + "[", value[0]
+            closing.append(', "}]"]')
+    return out + json.dumps(value) + "".join(reversed(closing))
