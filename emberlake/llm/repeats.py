@@ -12,9 +12,11 @@ one, so a run of windows is one row of the first passes:
 2. digit: the whole run around the anchor. Equal runs are repeated throughout and are counted,
    not listed, so a passage copied a million times is one group with a count.
 3. digit: each window of the runs that share an anchor but differ. One run stands for all equal
-   ones. A group with many runs is split by window hash, which keeps equal windows together.
+   ones. Window hashes are counted by partial sums, and those counted more than once are joined
+   back to the runs that occur once.
 
-Only runs, never pairs, are written, and only groups of bounded size meet in one task.
+Runs and windows are written, never pairs. No group is held in one task: counts are aggregates,
+and the join has one row a hash on one side, so adaptive execution can split a hot one.
 
 Hashes have 64 bits (runs 128). Nulls count as empty texts; texts shorter than the threshold
 lose nothing. Repeated rows count as occurrences, also with equal or null ids, and each row gets
@@ -26,7 +28,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +37,7 @@ from emberlake.llm.common import Rolling, byte_slices, discard, staged
 THRESHOLD = 400
 DEPTH = 128
 CHUNK = 1 << 19  # window starts handled at once
-GROUP = 256  # runs of one anchor that meet in one task
-BATCH = 2048  # runs handled at once
+GROUP = 256  # runs whose windows are written at once
 
 _hashes: list[Rolling] = []
 _PLACE = np.uint64((1 << 20) - 1)
@@ -115,8 +115,8 @@ def _find_runs(schema: T.StructType, threshold: int, depth: int):
     return find
 
 
-def _hash_windows(schema: T.StructType, threshold: int):
-    """Windows of the runs listed for a text, dealt to the slices of their group."""
+def _hash_windows(schema: T.StructType, threshold: int, group: int):
+    """Window hashes of the runs listed for a text, one row a run."""
 
     def expand(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -125,50 +125,25 @@ def _hash_windows(schema: T.StructType, threshold: int):
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 listed = part.column(1).to_pylist()
-                out: dict[str, list] = {n: [] for n in schema.names}
+                numbers, lists = [], []
                 for i, data in byte_slices(part.column(0)):
                     for run in listed[i]:
                         s, count = run["start"], run["windows"]
-                        hashes = window_hashes(data[s : s + count + threshold - 1], threshold)
-                        slices = run["slices"]
-                        dealt = hashes % np.uint64(slices)
-                        for k in range(slices) if slices < count else np.unique(dealt).tolist():
-                            own = np.flatnonzero(dealt == k) if slices > 1 else np.arange(count)
-                            if len(own):
-                                for name, value in zip(schema.names, (
-                                    run["anchor"], k, run["first"], run["second"],
-                                    hashes[own].view(np.int64), own.astype(np.int16), run["single"],
-                                )):
-                                    out[name].append(value)
-                        if len(out["anchor"]) > 2000:
-                            yield pa.RecordBatch.from_pydict(out, schema=arrow)
-                            out = {n: [] for n in schema.names}
-                if out["anchor"]:
-                    yield pa.RecordBatch.from_pydict(out, schema=arrow)
-
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(schema)
-    return expand
-
+                        numbers.append(run["number"])
+                        lists.append(window_hashes(data[s : s + count + threshold - 1], threshold).view(np.int64))
+                        if len(lists) == group:
+                            yield written(pa, numbers, lists)
+                            numbers, lists = [], []
+                if lists:
+                    yield written(pa, numbers, lists)
+
+    def written(pa, numbers: list, lists: list):
+        offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
+        return pa.RecordBatch.from_arrays([
+            pa.array(numbers, pa.int64()),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))], schema.names)
 
-def _repeated_windows(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Windows of the lone runs of one slice that another run holds too."""
-    sizes = pdf["hashes"].map(len).to_numpy()
-    hashes = np.concatenate(pdf["hashes"].to_numpy())
-    places = np.concatenate(pdf["places"].to_numpy())
-    owner = np.repeat(np.arange(len(pdf)), sizes)
-    _, back, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-    hit = (counts[back] > 1) & pdf["single"].to_numpy()[owner]
-    owner, places = owner[hit], places[hit]
-    if not len(owner):
-        return pd.DataFrame({"first": [], "second": [], "places": []}, dtype=object)
-    cuts = np.flatnonzero(np.diff(owner)) + 1
-    firsts = owner[np.concatenate([[0], cuts])]
-    return pd.DataFrame({
-        "first": pdf["first"].to_numpy()[firsts], "second": pdf["second"].to_numpy()[firsts],
-        "places": pd.Series([x.tolist() for x in np.split(places, cuts)], dtype=object),
-    })
+    return expand
 
 
 def _cut_spans(schema: T.StructType):
@@ -253,40 +228,32 @@ def _repeated_spans(
     # Third digit: windows of runs that share an anchor and differ, one run for all equal ones.
     mixed_groups = (
         classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("runs"), F.min("n").alias("least"))
-        .where("runs > 1 AND least = 1")
-        .select("anchor", F.ceil(F.col("runs") / F.lit(group)).cast("int").alias("slices"))
+        .where("runs > 1 AND least = 1").select("anchor")
     )
-    wanted = staged(classes.join(mixed_groups, "anchor").select(
-        F.col("at.id").alias("id"), F.col("at.text_hash").alias("text_hash"),
-        F.struct(
-            F.col("at.start").alias("start"), "windows", "slices", "anchor", "first", "second",
-            (F.col("n") == 1).alias("single")).alias("run")), "wanted")
-    batches = max(1, -(-wanted.count() // BATCH))  # groups share a task; equal windows stay together
-    by_text = wanted.groupBy("id", "text_hash").agg(F.collect_list("run").alias("runs"))
+    wanted = staged(
+        classes.join(mixed_groups, "anchor").select("at", "windows", "n").withColumn("number", F.monotonically_increasing_id()),
+        "wanted")
+    lone = F.col("n") == 1
+    by_text = wanted.groupBy("at.id", "at.text_hash").agg(F.collect_list(F.struct(
+        F.col("at.start").alias("start"), "windows", F.when(lone, F.col("number")).alias("number"))).alias("runs"))
     one_text = keyed.where(long)
     listed = one_text.alias("d").join(
         by_text.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
     ).select("d.text", "w.runs")
     window_schema = T.StructType([
-        T.StructField("anchor", T.LongType()), T.StructField("slice", T.IntegerType()),
-        T.StructField("first", T.LongType()), T.StructField("second", T.LongType()),
-        T.StructField("hashes", T.ArrayType(T.LongType())), T.StructField("places", T.ArrayType(T.ShortType())),
-        T.StructField("single", T.BooleanType()),
-    ])
-    parts = (
-        listed.mapInArrow(_hash_windows(window_schema, threshold), window_schema)
-        .groupBy(F.pmod(F.xxhash64("anchor", "slice"), F.lit(batches)).alias("batch"))
-        .applyInPandas(_repeated_windows, "first bigint, second bigint, places array<smallint>")
-    )
-    windows = staged(parts, "windows")
-    discard(wanted)
-    partly = (
-        windows.join(classes.where("n = 1").select("first", "second", "at"), ["first", "second"])
-        .select("at.id", "at.text_hash", "at.start", F.explode("places").alias("place"))
-        .select("id", "text_hash", (F.col("start") + F.col("place")).alias("start"),
-                (F.col("start") + F.col("place") + threshold).alias("end"))
-    )
-    return whole.unionByName(partly), [alive, classes, windows]
+        T.StructField("number", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+    hashed = staged(listed.mapInArrow(_hash_windows(window_schema, threshold, group), window_schema), "hashes")
+    more = staged(
+        hashed.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("hash"), "repeated")
+    windows = staged(
+        hashed.where("number IS NOT NULL").select("number", F.posexplode("hashes").alias("place", "hash"))
+        .join(more, "hash", "left_semi").select("number", "place"), "windows")
+    discard(hashed, more)
+    partly = windows.join(wanted.where(lone).select("number", "at"), "number").select(
+        "at.id", "at.text_hash", (F.col("at.start") + F.col("place")).alias("start"),
+        (F.col("at.start") + F.col("place") + threshold).alias("end"))
+    return whole.unionByName(partly), [alive, classes, wanted, windows]
 
 
 def remove_repeats(

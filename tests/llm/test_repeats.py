@@ -45,6 +45,18 @@ def test_shared_passages_match_brute_force(spark):
     check(spark, rows, 60, 50)
 
 
+def test_hot_passage_meets_in_no_python_group(spark, monkeypatch):
+    from pyspark.sql.group import GroupedData
+
+    def whole_group(*_, **__):
+        raise AssertionError("all rows of a group are handed to one task")
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", whole_group)
+    rng = random.Random(11)
+    passage = prose(rng, 40)[:60]  # a little over the threshold, its surroundings differ in every row
+    check(spark, [(i, prose(rng, 12) + passage + prose(rng, 12)) for i in range(300)], 50, 20)
+
+
 def test_edges(spark):
     rng = random.Random(5)
     long = prose(rng, 400)
