@@ -5,7 +5,7 @@ from __future__ import annotations
 
 def _load() -> None:
     from emberlake.catalog import (  # noqa: F401
-        queries_core, queries_files, queries_forms, queries_relational, queries_reports,
+        queries_core, queries_files, queries_forms, queries_relational, queries_reports, queries_upkeep,
     )
 
 

@@ -332,6 +332,62 @@ def link_all(
     return timed.join(gathered.select(*keys, *names), keys, "left").drop("_minute")
 
 
+# Which readings a variable's links come from: (period columns, threshold by source or in km).
+REACH = {"clima": (["fecha"], {s: K.THRESHOLD_KM[s] for s in ("METEO", "INUMET")})} | {
+    c.removesuffix("_id"): rule for c, rule in PERIOD_LINKS.items()}
+SPOT = ["ubicacion_id", "fecha", "_minute"]
+
+
+def spots_in_reach(
+    spots: DataFrame, readings: DataFrame, on: list[str], max_km: float | dict[str, float],
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Spots (place, date, minute) within the distance of any of these readings: the reverse of the
+    search for the nearest one. Readings go to the grid cells they can influence, spots to their own."""
+    points = ambient_points(readings, on, source=isinstance(max_km, dict))
+    widest = max(max_km.values()) if isinstance(max_km, dict) else float(max_km)
+    cells = G.cells_around(widest)
+    reach = materialise(_reach(points, _threshold(max_km, points.columns), cells).select(
+        "pais_codigo", *on, "_plat", "_plon", "_radius", "_row", "_col"), "influence")
+    if reach.count() * ROW_BYTES <= broadcast_bytes:
+        reach = F.broadcast(reach)
+    lat, lon = F.col("latitud").cast("double"), F.col("longitud").cast("double")
+    placed = spots.withColumn("_row", G.latitude_cell(lat, cells)).withColumn("_col", G.longitude_cell(lon, cells))
+    return (
+        placed.join(reach, ["pais_codigo", *on, "_row", "_col"])
+        .where(G.haversine_km(lat, lon, F.col("_plat"), F.col("_plon")) <= F.col("_radius"))
+        .select(*SPOT).distinct()
+    )
+
+
+def changed_spots(facts: DataFrame, new_readings: dict[str, DataFrame], new_facts: DataFrame | None = None) -> DataFrame:
+    """Spots whose links may differ: those of new facts (rows with a natural_key) and those a new
+    reading of a variable can reach. Changed values of a known reading change no link."""
+    timed = _with_minute(facts)
+    spots = timed.select("pais_codigo", "latitud", "longitud", "anio", "mes", *SPOT).distinct()
+    found = [spots_in_reach(spots, readings, *REACH[name]) for name, readings in new_readings.items()]
+    if new_facts is not None:
+        found.append(timed.join(new_facts.select("natural_key"), "natural_key", "left_semi").select(*SPOT))
+    if not found:
+        return spots.limit(0).select(*SPOT)
+    return reduce(DataFrame.unionByName, found).distinct()
+
+
+def relink(facts: DataFrame, spots: DataFrame, dims: dict[str, DataFrame], **tuning) -> DataFrame:
+    """Facts with the links of the given spots found again and all others as they are.
+
+    ``dims`` holds the dimension of each variable; only readings of the spots' days, months and
+    years are looked at."""
+    names = [c for n in LINK_COLUMNS for c in (n, n.removesuffix("_id") + "_km")]
+    timed = _with_minute(facts)
+    stale = timed.join(spots, SPOT, "left_semi").drop("_minute")
+    kept = timed.join(spots, SPOT, "left_anti").drop("_minute")
+    days = spots.select("fecha").distinct().withColumns({"anio": F.year("fecha"), "mes": F.month("fecha")})
+    near = {name: dim.join(days.select(*REACH[name][0]).distinct(), REACH[name][0], "left_semi") for name, dim in dims.items()}
+    fresh = link_all(stale, *[near[c.removesuffix("_id")] for c in LINK_COLUMNS], **tuning)
+    return kept.unionByName(fresh.select(*[c for c in fresh.columns if c not in names], *names).select(kept.columns))
+
+
 AUDITED = {
     # variable: (link column, threshold km, rule on time)
     "clima": ("clima_id", K.THRESHOLD_KM["INUMET"], "misma_fecha_y_hora_mas_cercana"),

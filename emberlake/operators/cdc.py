@@ -156,16 +156,22 @@ def repeated_hash_event_rows(repeated: DataFrame, source: str, run_id: str) -> D
     )
 
 
-def run_counters(events: DataFrame) -> DataFrame:
-    """One row: leidas, insertadas, actualizadas, sin_cambio, rechazadas."""
+def counters() -> list[Column]:
+    """leidas, insertadas, actualizadas, sin_cambio, rechazadas of event rows; as aggregates, or
+    observed while the events are written."""
     kind = F.col("tipo_evento")
-    return events.agg(
+    return [
         F.count("*").alias("leidas"),
         F.count_if(kind == ALTA).alias("insertadas"),
         F.count_if(kind == MODIFICACION).alias("actualizadas"),
         F.count_if(kind == SIN_CAMBIO).alias("sin_cambio"),
         F.count_if(kind == RECHAZO).alias("rechazadas"),
-    )
+    ]
+
+
+def run_counters(events: DataFrame) -> DataFrame:
+    """One row of the counters."""
+    return events.agg(*counters())
 
 
 def latest_date(accepted: DataFrame) -> DataFrame:

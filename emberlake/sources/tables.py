@@ -24,6 +24,8 @@ class Tables:
         return self.read(name) is not None
 
     def read(self, name: str) -> DataFrame | None:
+        if not self.holds(self.path(name)):
+            return None
         try:
             return self.spark.read.parquet(self.path(name))
         except AnalysisException as error:
@@ -39,11 +41,22 @@ class Tables:
         write_table(df, self.path(name), "append", partition_by)
 
     def replace(self, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-        """Write beside, then overwrite: the result may be computed from the table itself."""
-        if self.read(name) is not None:
-            df = self.stage(df, name)
-        write_table(df, self.path(name), "overwrite", partition_by)
-        self.discard(df)
+        """Write beside, then rename: the result may be computed from the table itself, and readers
+        find the old or the new table."""
+        place = f"{self.root}/_work/{name}-{uuid.uuid4().hex}"
+        write_table(df, place, "overwrite", partition_by)
+        self.swap(place, name)
+
+    def swap(self, place: str, name: str) -> None:
+        """Rename a written folder to the table's; the former one goes afterwards."""
+        new, live, former = (self._path(p) for p in (place, self.path(name), f"{place}-former"))
+        files = live.getFileSystem(self._conf())
+        if files.exists(live):
+            files.rename(live, former)
+        files.mkdirs(live.getParent())
+        files.rename(new, live)
+        files.delete(former, True)
+        self.spark.catalog.refreshByPath(self.path(name))
 
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """Materialise in the warehouse's scratch area; later steps read files, so a lost
@@ -60,20 +73,34 @@ class Tables:
         if place:
             self._remove(place)
 
+    def _path(self, place: str):
+        return self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+
+    def _conf(self):
+        return self.spark._jsparkSession.sessionState().newHadoopConf()
+
     def _remove(self, place: str) -> None:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        path = self._path(place)
+        path.getFileSystem(self._conf()).delete(path, True)
+
+    def holds(self, place: str) -> bool:
+        path = self._path(place)
+        return path.getFileSystem(self._conf()).exists(path)
 
     def replace_partitions(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
-        """Overwrite only the partitions present in ``df``. Rows are balanced by size: a large
-        partition is written by as many tasks as it needs, small ones share a task."""
+        """Overwrite only the partitions present in ``df``, which may be read from the table."""
         staged = df if self.read(name) is None else self.stage(df, name)
+        self.overwrite_partitions(staged, name, partition_by)
+        self.discard(staged)
+
+    def overwrite_partitions(self, df: DataFrame, name: str, partition_by: list[str]) -> None:
+        """As ``replace_partitions`` for rows that do not come from the table. Rows are balanced by
+        size: a large partition is written by as many tasks as it needs, small ones share a task."""
         (
-            staged.hint("rebalance", *[F.col(c) for c in partition_by])
+            df.hint("rebalance", *[F.col(c) for c in partition_by])
             .write.mode("overwrite").partitionBy(*partition_by)
             .option("partitionOverwriteMode", "dynamic").parquet(self.path(name))
         )
-        self.discard(staged)
 
     def write_run(self, df: DataFrame, name: str) -> None:
         """Audit rows of one run, in a partition of their own: a repeated run replaces them."""
@@ -101,7 +128,7 @@ def write_table(
 
 
 def affected(current: DataFrame, column: str) -> list:
-    """Partition values of a batch (years, so a handful)."""
+    """Partition values of a batch: the days, months or years it holds, as the table's grain says."""
     return [r[0] for r in current.select(column).distinct().collect()]
 
 

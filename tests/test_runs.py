@@ -122,3 +122,74 @@ def test_later_file_wins_whatever_its_size(spark, tmp_path):
     house.load("CHIRPS", spark.read.parquet(landing), RunOptions(smoke=True))
     kept = house.tables.read("stg_chirps").where("fecha = '2024-01-01'").collect()
     assert [float(r.precipitacion_mm) for r in kept] == [2.0]
+
+
+def test_promotion_lost_in_a_crash_is_made_up_for(spark, tmp_path, monkeypatch):
+    rain = spark.createDataFrame([("2024-01-15", "URY", "P", -33.1, -56.1, 7.0)], RAIN)
+    house = Warehouse(spark, str(tmp_path))
+
+    def fails(*_):
+        raise RuntimeError("driver lost")
+
+    # Before the change is recorded: the run stays open and happens again.
+    with monkeypatch.context() as patch:
+        patch.setattr("emberlake.plans.pipeline.publish", fails)
+        with pytest.raises(RuntimeError):
+            house.load("CHIRPS", rain, run_id="r1")
+    assert not house.tables.exists("dim_precipitacion") and not house.tables.exists("etl_runs")
+    # After it was recorded: the next attempt puts the written files into place.
+    with monkeypatch.context() as patch:
+        patch.setattr("emberlake.sources.tables.Tables.overwrite_partitions", fails)
+        with pytest.raises(RuntimeError):
+            house.promote_pending("CHIRPS")
+    assert not house.tables.exists("dim_precipitacion")
+    again = Warehouse(spark, str(tmp_path)).load("CHIRPS", rain, run_id="r1")
+    assert (again["insertadas"], again["estado"]) == (1, "cargado")
+    assert house.tables.read("dim_precipitacion").count() == house.tables.read("etl_runs").count() == 1
+    assert not list((tmp_path / "_work").rglob("judged*/*.parquet")) and not list((tmp_path / "_work").rglob("flagged*/*.parquet"))
+
+
+def test_one_day_is_promoted_and_linked_alone(spark, tmp_path):
+    """Days, months and places that a batch does not touch keep their files; what is kept up equals
+    what is built anew."""
+    house = Warehouse(spark, str(tmp_path))
+    rain = [(f"2024-0{m}-15", "URY", "P", -33.1, -56.1, 7.0 + m) for m in (1, 2, 3)]
+    house.load("FIRMS", spark.createDataFrame(DETECTIONS, DET))
+    house.load("CHIRPS", spark.createDataFrame(rain[:2], RAIN))
+    house.associate()
+    tables = ("fact_incendio", "dim_precipitacion", "mv_incendios_pais_periodo", "mv_incendios_precipitacion", "dim_ubicacion")
+
+    def files():
+        return {str(p.relative_to(tmp_path)): p.stat().st_mtime_ns for n in tables for p in (tmp_path / n).rglob("*.parquet")}
+
+    def touched(before):
+        return {p.rsplit("/", 1)[0] for p, at in files().items() if before.get(p) != at}
+
+    before = files()
+    house.load("FIRMS", spark.createDataFrame([("2024-02-01", 200, -33.6, -56.5, "URY", 1.0, 70, 9), (*DETECTIONS[1][:5], 8.0, 70, 10)], DET))
+    assert touched(before) == {"fact_incendio/parte=y2024-02-01", "mv_incendios_pais_periodo/periodo=y2024-02",
+                               "mv_incendios_precipitacion/periodo=y2024-02", "dim_ubicacion/zona=z-7_-12"}
+    before = files()
+    house.load("CHIRPS", spark.createDataFrame([("2024-02-15", "URY", "P", -33.1, -56.1, 1.0), rain[2]], RAIN))
+    house.associate(only_changed=True)
+    assert touched(before) >= {"fact_incendio/parte=y2024-02-01", "dim_precipitacion/parte=y2024-02-15", "mv_incendios_precipitacion/periodo=y2024-02"}
+    assert "fact_incendio/parte=y2024-01-01" not in touched(before) and "mv_incendios_precipitacion/periodo=y2024-01" not in touched(before)
+
+    def state():
+        fact = house.tables.read("fact_incendio").select("natural_key", "frp_mw", *A.LINK_COLUMNS)
+        return [sorted(map(str, df.collect())) for df in (fact, *[house.tables.read(n) for n in tables[2:4]])]
+
+    kept_up = state()
+    house.associate()
+    house.rebuild_summaries()
+    assert state() == kept_up
+    assert house.tables.read("fact_incendio").where("precipitacion_id IS NULL").count() == 0
+
+
+def test_smoke_and_pending_promotion_are_separate(spark, tmp_path):
+    house = Warehouse(spark, str(tmp_path))
+    rain = lambda day: spark.createDataFrame([(day, "URY", "P", -33.1, -56.1, 7.0)], RAIN)
+    house.load("CHIRPS", rain("2024-01-15"), RunOptions(smoke=True))
+    house.load("CHIRPS", rain("2024-01-16"), RunOptions(promote=False))
+    house.promote_pending("CHIRPS")
+    assert [str(r.fecha) for r in house.tables.read("dim_precipitacion").collect()] == ["2024-01-16"]
