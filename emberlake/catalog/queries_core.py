@@ -454,6 +454,16 @@ add("uf2_region_update_count", lambda d: R.update_regions(d.dim_location_plain,
     """SELECT COUNT(*) AS ubicaciones_actualizadas FROM dim_location n JOIN dim_location_plain o USING (ubicacion_id)
        WHERE n.region IS DISTINCT FROM o.region""", ubicaciones_actualizadas="i")
 
+
+def _region_function(d):
+    R.register_region_function(d.dim_location_plain, d.regions)
+    return d.spark.sql(f"SELECT * FROM {R.REGION_FUNCTION}('URY', 'departamento')")
+
+
+add("uf2_region_table_function", _region_function,
+    """SELECT ubicacion_id, o.region AS region_anterior, n.region FROM dim_location n JOIN dim_location_plain o USING (ubicacion_id)
+       WHERE n.region IS DISTINCT FROM o.region""", ubicacion_id="i", region_anterior="s", region="s")
+
 # --- association ------------------------------------------------------------------------------
 
 add("a01_ambient_points", lambda d: A.ambient_points(d.dim_weather, ["fecha"], source=True).withColumnRenamed("_point", "ubicacion_id"),

@@ -15,6 +15,7 @@ from emberlake.operators import normalize as N
 from emberlake.operators import prepare as P
 from emberlake.operators import star
 from emberlake.operators.cdc import insert_if_absent, keep_one
+from emberlake.operators.quantiles import percentile_cont
 from emberlake.plans import quality as V
 from emberlake.plans.pipeline import RunOptions, Warehouse
 from emberlake.streaming import incremental
@@ -75,7 +76,7 @@ add("v15_key_columns",
 
 def _above_percentile(d):
     days = d.given("events").groupBy("event_type", F.to_date("ts").alias("dia")).agg(F.count("*").alias("n"))
-    limits = days.groupBy("event_type").agg(F.percentile("n", 0.75).alias("p75"))
+    limits = percentile_cont(days, ["event_type"], "n", 0.75, "p75")
     return days.join(limits, "event_type").where("n >= p75")
 
 
@@ -130,8 +131,16 @@ add("ag06_filtered_counts",
 add("ag07_having", lambda d: d.fact.groupBy("ubicacion_id").agg(F.count("*").alias("n")).where("n >= 3"),
     "SELECT ubicacion_id, COUNT(*) AS n FROM fact GROUP BY 1 HAVING COUNT(*) >= 3", ubicacion_id="i", n="i")
 add("ag08_percentile",
-    lambda d: d.given("events").groupBy("event_type").agg(F.percentile("value", 0.75).alias("p75")).withColumn("p75", F.round("p75", 6)),
+    lambda d: percentile_cont(d.given("events"), ["event_type"], "value", 0.75, "p75").withColumn("p75", F.round("p75", 6)),
     "SELECT event_type, ROUND(quantile_cont(value, 0.75), 6) AS p75 FROM events GROUP BY 1", event_type="s", p75="f")
+# A third of all rows in one group, most of them with one value.
+_CROWDED = "CASE WHEN l_linenumber <= 2 THEN 'A' ELSE l_returnflag || l_linestatus END"
+_PRICE = "CASE WHEN l_linenumber = 1 THEN 1e0 WHEN l_orderkey % 9 = 0 THEN NULL ELSE CAST(l_extendedprice AS DOUBLE) END"
+add("ag08_percentile_hot_group",
+    lambda d: percentile_cont(
+        d.given("lineitem").select(F.expr(_CROWDED).alias("grupo"), F.expr(_PRICE).alias("v")), ["grupo"], "v", 0.9, "p90")
+    .withColumn("p90", F.round("p90", 6)),
+    f"SELECT {_CROWDED} AS grupo, ROUND(quantile_cont({_PRICE}, 0.9), 6) AS p90 FROM lineitem GROUP BY 1", grupo="s", p90="f")
 add("ag09_coverage",
     lambda d: d.linked.groupBy("pais_codigo", "anio").agg(S.percent(F.count("clima_id"), F.count("*")).alias("cobertura")),
     f"SELECT pais_codigo, anio, {pct('COUNT(clima_id)', 'COUNT(*)')} AS cobertura FROM linked GROUP BY 1, 2", pais_codigo="s", anio="i", cobertura="f")

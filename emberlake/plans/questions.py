@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from emberlake import constants as K
 from emberlake.functions import scalars as S
+from emberlake.operators.quantiles import percentile_cont
 from emberlake.plans import marts as M
 from emberlake.plans.marts import Tables
 
@@ -163,7 +164,7 @@ def activity_levels(
 ) -> DataFrame:
     """Days at or above the country's percentile of daily detections against the others."""
     days = _days(t, countries, years)
-    limits = days.groupBy("pais_codigo").agg(F.percentile("focos", quantile).alias("_limit"))
+    limits = percentile_cont(days, ["pais_codigo"], "focos", quantile, "_limit")
 
     def mean(name: str) -> Column:
         total = F.sum(F.col(name).cast("decimal(20,12)"))

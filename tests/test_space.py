@@ -59,8 +59,11 @@ def test_band_join_equals_ray_casting_on_a_slanted_polygon(spark):
     region = spark.createDataFrame([("R", [ring])], f"nombre string, anillos {RINGS}")
     df = spark.createDataFrame(points, "id int, longitud double, latitud double")
     for limit in (0, 1 << 20):
-        got = {r.id for r in R.containing(df, region, ["nombre"], [], broadcast_bytes=limit).collect()}
-        assert got == {i for i, x, y in points if inside(x, y)}
+        for depth in (1, 4, 8):
+            got = {r.id for r in R.containing(df, region, ["nombre"], [], depth=depth, broadcast_bytes=limit).collect()}
+            assert got == {i for i, x, y in points if inside(x, y)}
+    met = R.cells_met(df, R.cell_cover(region, ["nombre"]), [])
+    assert met.where("border").count() < len(points) / 5
 
 
 FACT = "natural_key string, pais_codigo string, latitud double, longitud double, fecha date, anio int, mes int, hora_adq_hhmm int"
@@ -137,3 +140,25 @@ def test_grid_search_equals_brute_force(spark, tuning):
             expected[i] = best
     assert set(got) == set(expected) and len(expected) > 100
     assert all(got[i][1] == pytest.approx(expected[i][0], abs=1e-6) for i in expected)
+
+
+def test_points_on_cell_sides_and_polygon_edges(spark):
+    """Edges that run along cells' sides and points on them decide as the ray does."""
+    region = spark.createDataFrame([("R", SQUARE), ("N", NEXT)], f"nombre string, anillos {RINGS}")
+    points = spark.createDataFrame(
+        [(i * 100 + j, i / 4, j / 4) for i in range(-2, 36) for j in range(-2, 20)], "id int, longitud double, latitud double")
+    got = sorted((r.id, r.nombre) for r in R.containing(points, region, ["nombre"], [], depth=3).collect())
+    plain = points.crossJoin(region).where(G.point_in_polygon(F.col("longitud"), F.col("latitud"), F.col("anillos")))
+    assert got == sorted((r.id, r.nombre) for r in plain.collect())
+
+
+def test_percentiles_equal_interpolated_ranks(spark, rows):
+    from emberlake.operators.quantiles import percentile_cont
+
+    draw = random.Random(2)
+    data = [(draw.choice(["a", "a", "b", None]), draw.choice([None, 1.0, draw.uniform(0, 9)])) for _ in range(400)] + [("empty", None), ("one", 3.0)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(7)
+    for fraction in (0.0, 0.25, 0.75, 1.0):
+        got = {r.g: r.p for r in percentile_cont(df, ["g"], "v", fraction, "p").collect()}
+        plain = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", fraction).alias("p")).collect()}
+        assert got.keys() == plain.keys() and all(got[k] == pytest.approx(plain[k]) if plain[k] is not None else got[k] is None for k in got)
