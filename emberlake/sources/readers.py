@@ -89,7 +89,9 @@ def _around_year(df: DataFrame, column: str, year: int) -> Column:
     kind = S.type_of(df, column)
     value = F.col(column)
     if isinstance(kind, T.StringType):
-        return (value >= f"{year - 1:04d}") & (value < f"{year + 2:04d}")
+        # Text that does not begin with a digit, such as a padded date, is left to the exact filter.
+        other = (value < "0") | (value >= ":")
+        return other | ((value >= f"{year - 1:04d}") & (value < f"{year + 2:04d}"))
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         first, last = (F.lit(f"{y:04d}-01-01").cast(kind) for y in (year, year + 1))
         return (value >= first) & (value < last)
