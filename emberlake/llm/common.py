@@ -5,12 +5,25 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_folders: dict[str, str] = {}
+_recorders: list[list] = []
+
+
+@contextmanager
+def recorded(tables: list) -> Iterator[None]:
+    """Adds to ``tables`` what is staged meanwhile."""
+    _recorders.append(tables)
+    try:
+        yield
+    finally:
+        _recorders.remove(tables)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -35,6 +48,8 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     df.write.option("compression", "zstd").parquet(place)
     found = spark.read.schema(df.schema).parquet(place)
     found._place = place
+    for tables in _recorders:
+        tables.append(found)
     release(spark)
     return found
 

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlake.llm.common import Rolling, byte_slices, discard, mixed, staged
+from emberlake.llm.common import byte_slices, discard, mixed, recorded, staged
 from emberlake.llm.components import components
 
 WORDS = 5
@@ -53,14 +53,14 @@ def _coder(words: int) -> tuple:
         blank[[32, *range(9, 14)]] = True
         rng = np.random.default_rng(77)
         factors = rng.integers(1, 2**63, words, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        _state[words] = Rolling(31), lower, blank, factors
+        _state[words] = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2), lower, blank, factors
     return _state[words]
 
 
 def shingle_set(data: np.ndarray, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of all runs of ``words`` words of a text; of the whole text if it
     has fewer words."""
-    rolling, lower, blank, factors = _coder(words)
+    bytes_of, lower, blank, factors = _coder(words)
     data = lower[data]
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~blank[data]
@@ -69,7 +69,13 @@ def shingle_set(data: np.ndarray, words: int = WORDS) -> np.ndarray:
     n = len(starts)
     if n == 0:
         return np.empty(0, np.uint64)
-    codes = rolling.windows(rolling.prefix(data), starts, ends)
+    # Every (byte, place in its word) has a random value of its own, so no pattern of bytes makes
+    # different words sum up equally.
+    lengths = ends - starts
+    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    place = np.arange(int(lengths.sum()), dtype=np.uint64) - np.repeat(first, lengths).astype(np.uint64)
+    letters = bytes_of[data[~blank[data]]] + place * np.uint64(0x9E3779B97F4A7C15)
+    codes = mixed(np.add.reduceat(mixed(letters), first) + lengths.astype(np.uint64))
     if n < words:
         return mixed((codes * factors[:n]).sum(dtype=np.uint64, keepdims=True) + np.uint64(n))
     total = np.zeros(n - words + 1, np.uint64)
@@ -282,7 +288,18 @@ def similar_components(
     """One row per input row: id, text_hash, n_shingles, component_id, the smallest id that links
     reach, and component, a number of the component (null without words). Two rows link when
     100 * intersection >= percent * union of their sets."""
-    join = _Join(docs, id_col, text_col, words, percent, counters)
+    tables: list[DataFrame] = []
+    with recorded(tables):
+        placed = _placed(_Join(docs, id_col, text_col, words, percent, counters), percent)
+    discard(*[t for t in tables if t is not placed])
+    least = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
+    return placed.join(least, "component", "left").select(
+        F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"),
+        F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), "component")
+
+
+def _placed(join: _Join, percent: int) -> DataFrame:
+    """Rows (id, text_hash, n) with the component of their set."""
     sizes, counts = join.described()
     prefixes = join.classes(counts)
     classes = staged(prefixes.drop("prefix"), "classes")
@@ -346,11 +363,7 @@ def similar_components(
         .where(F.col("c") + after >= need).select("a", "b"))
     parts = join.merged(parts, join.linked(candidates, sets))[1]
     groups = classes.select("first", "second", "uid").join(parts, "uid").select("first", "second", F.col("part").alias("component"))
-    placed = staged(sizes.join(groups, ["first", "second"], "left"), "placed")
-    least = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
-    return placed.join(least, "component", "left").select(
-        F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"),
-        F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), "component")
+    return staged(sizes.join(groups, ["first", "second"], "left"), "placed")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

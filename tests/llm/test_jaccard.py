@@ -102,3 +102,14 @@ def test_long_chain_is_one_component(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     got = {r["node"]: r["component"] for r in components(edges).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_words_of_complementary_patterns_differ(spark):
+    """Polynomial hashes modulo 2^64 cannot tell these words apart, whatever their base."""
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    docs = spark.createDataFrame([(1, word), (2, other), (3, f"{word} {other}")], "doc_id bigint, text string")
+    rows = similar_components(docs).collect()
+    assert {r["doc_id"]: r["component_id"] for r in rows} == {1: 1, 2: 2, 3: 3}
