@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,21 +60,28 @@ class _Words:
     def ids(self, texts: list[str]) -> list[bytes]:
         rows = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         recent, older = self.recent, self.older
-        new = set().union(*rows) - recent.keys() if rows else set()
-        known = new & older.keys()
-        for word in known:
-            recent[word] = older[word]
-        plain = {word: _plain(word) for word in new - known}
-        cores = {core for core, _ in plain.values()} - recent.keys()
-        for word in cores & older.keys():
-            recent[word] = older[word]
-        cores = list(cores - recent.keys())
+        plain, fresh = {}, {}
+        for word in set().union(*rows):
+            if word in recent:
+                continue
+            if (found := older.get(word)) is not None:
+                recent[word] = found
+                continue
+            # Plain words skip the call; they have no mark and no case worth keeping.
+            core, mark = plain[word] = (word.lower(), "") if word.isalpha() and word.isascii() else _plain(word)
+            if core in recent or core in fresh:
+                continue
+            if (found := older.get(core)) is not None:
+                recent[core] = found
+            else:
+                fresh[core] = None
+        cores = list(fresh)
         for at in range(0, len(cores), 20_000):
             part = cores[at : at + 20_000]
             for word, code in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                recent[word] = np.array(code.ids, dtype="<u4").tobytes()
+                recent[word] = array("I", code.ids).tobytes()
         for word, (core, mark) in plain.items():
-            recent[word] = recent[core] + self.marks[mark]
+            recent[word] = recent[core] + self.marks[mark] if mark else recent[core]
         found = [b"".join(map(recent.__getitem__, row)) for row in rows]
         if len(recent) > CACHED:
             self.recent, self.older = {}, recent
