@@ -1,22 +1,25 @@
 """Exact Jaccard join of word n-gram sets by a grouped prefix join, and its components.
 
-Sets are collapsed before they are compared: equal sets are one class. Tokens are ordered by how
-often they occur, rarest first; two sets of Jaccard similarity s share a token among the first
-n - ceil(s n) + 1 of each. Occurrences are counted over all texts into hashed counters of fixed
-number, which is enough for an order and bounds what is broadcast.
-
-Classes that hold a token in their prefix form its group. Pairs inside a group are never listed:
-
-* in each of a few rounds every group draws a head by hash, and every class is compared with the
-  head outside its component with which it shares the most prefix tokens; what links there forms
-  preliminary components, and rounds end early when few pairs of components remain;
-* then only pairs of classes in different components are looked at. In each group the members of
-  the largest component are the trunk; the others meet the trunk and each other. Pairs are
-  filtered by size and by the number of shared prefix tokens and verified on whole sets.
+Tokens are ordered by how often they occur, rarest first; of two sets whose sizes n <= m ask for an
+overlap of o, the first common token stands before place n - o + 1 of either. So a set's prefix is
+its first n - ceil(s n) + 1 tokens. Occurrences are counted over all texts into hashed counters of
+fixed number, which is enough for an order and bounds what is broadcast.
+
+1. Equal sets are one class; classes of identical prefix and size are one group, and only groups
+   carry tokens into the join. A token counts if several groups hold it, one of them early enough
+   to be the smaller side of a pair.
+2. Groups are paired on a token if what stands from it on, in both, can still reach the overlap.
+   Pairs inside a token are not listed at once: first every group meets a few heads drawn from each
+   of its tokens. Members of a group are verified against its first member, and groups against
+   the head with which they share the most tokens, in rounds; this forms preliminary components.
+3. Then only what lies in different components is paired. Of each token the groups of the largest
+   component are the trunk; the others meet the trunk and each other. Surviving pairs of groups,
+   and groups whose own members lie in several components, are expanded to their members, and
+   members of different components are verified on whole sets.
 
 Pairs inside one component need no check, as they cannot change it; no other pair is left out,
-so components are exact. Heads, trunks and counts are aggregates; joins on hot tokens have one
-small side and are split by adaptive execution.
+so components are exact. Heads, trunks and counts are aggregates with partial sums; joins on hot
+tokens are split by adaptive execution.
 
 A text without words, an empty or a null text has an empty set and links with nothing. Repeated
 rows and equal sets share a component. The component of rows that all lack an id is null. An
@@ -38,9 +41,8 @@ from emberlake.llm.components import components
 WORDS = 5
 PERCENT = 75
 COUNTERS = 1 << 21
-ROUNDS = 4  # of meetings with group heads, before all remaining pairs of parts are looked at
+HEADS = 4  # groups drawn from each token, and rounds of verification against them
 FEW = 10  # a round that links less than one in FEW of the first round's links is the last
-PAIRS_PER_ROW = 2  # remaining pairs, as a multiple of the groups' rows, that end the rounds early
 
 _state: dict = {}
 
@@ -207,11 +209,6 @@ def _sets(words: int):
     return make
 
 
-def _renamed(rows: DataFrame, change: DataFrame) -> DataFrame:
-    """``rows`` with their column ``part`` replaced where it was joined to another."""
-    return rows.join(change, "part", "left").withColumn("part", F.coalesce("joined", "part")).drop("joined")
-
-
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int, counters: int):
         self.words, self.percent, self.counters = words, percent, counters
@@ -238,6 +235,84 @@ class _Join:
         found = self.keyed.mapInArrow(_prefixes(self.words, self.percent, order, schema), schema)
         return staged(found.dropDuplicates(["first", "second"]).withColumn("uid", F.monotonically_increasing_id()), "prefixes")
 
+    def grouped(self, prefixes: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Classes with the group of their size and prefix, named by its least uid; and
+        (token, gid, n, pos, early) of the tokens that can pair groups."""
+        same = ["n", "h", "g"]
+        hashed = prefixes.withColumns({"h": F.xxhash64("prefix"), "g": F.xxhash64(F.lit(1), "prefix")})
+        names = hashed.groupBy(*same).agg(F.min("uid").alias("gid"))
+        classes = staged(hashed.drop("prefix").join(names, same).drop("h", "g"), "classes")
+        tokens = (
+            prefixes.join(classes.where("uid = gid").select("uid"), "uid", "left_semi")
+            .select(F.col("uid").alias("gid"), "n", F.posexplode("prefix").alias("pos", "token"))
+            .withColumn("early", F.col("n") - F.col("pos") >= self.overlap(F.col("n"), F.col("n"))))
+        shared = staged(
+            tokens.groupBy("token").agg(F.min("gid").alias("least"), F.max("gid").alias("most"), F.bool_or("early").alias("early"))
+            .where("least < most AND early").select("token"), "shared")
+        members = staged(tokens.join(shared, "token", "left_semi"), "members")
+        discard(shared)
+        return classes, members
+
+    def overlap(self, n: Column, m: Column) -> Column:
+        """The least intersection that lets sets of these sizes link."""
+        return F.ceil((n + m) * self.percent / (100 + self.percent))
+
+    def reachable(self, n: Column, pos: Column, m: Column, place: Column) -> Column:
+        """Whether a first common token at these places leaves enough for a link."""
+        return (F.least(n - pos, m - place) >= self.overlap(n, m)) & (F.least(n, m) * 100 >= F.greatest(n, m) * self.percent)
+
+    def head_pairs(self, members: DataFrame) -> DataFrame:
+        """(gid, other, c): groups that can link with a head of one of their tokens, and how many
+        tokens say so. Heads are drawn by hash, early ones before others."""
+        drawn = [
+            F.min_by(F.struct("gid", "n", "pos"), F.struct(~F.col("early"), F.xxhash64("gid", F.lit(turn))))
+            for turn in range(HEADS)]
+        heads = staged(members.groupBy("token").agg(F.array_distinct(F.array(*drawn)).alias("heads")), "heads")
+        met = members.join(heads, "token").select("gid", "n", "pos", F.explode("heads").alias("head"))
+        able = self.reachable(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"))
+        found = staged(
+            met.where((F.col("gid") != F.col("head.gid")) & able)
+            .groupBy("gid", F.col("head.gid").alias("other")).agg(F.count(F.lit(1)).alias("c")), "met")
+        discard(heads)
+        return found
+
+    def group_pairs(self, members: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
+        """(a, b) pairs of groups whose members lie in different parts and that can link. A group
+        in several parts stands for all of them."""
+        placed = (
+            classes.select("uid", "gid").join(parts, "uid").groupBy("gid")
+            .agg(F.min("part").alias("part"), (F.min("part") != F.max("part")).alias("several")))
+        rows = staged(members.drop("early").join(placed, "gid"), "placed-members")
+        trunks = (
+            rows.groupBy("token", F.when(~F.col("several"), F.col("part")).alias("part")).agg(F.count(F.lit(1)).alias("k"))
+            .groupBy("token").agg(
+                F.max(F.when(F.col("part").isNotNull(), F.struct("k", "part"))).alias("most"), F.sum("k").alias("rows"))
+            .where("most IS NULL OR most.k < rows").select("token", F.col("most.part").alias("trunk")))
+        open_rows = staged(
+            rows.join(trunks, "token")
+            .withColumn("inside", F.coalesce(~F.col("several") & (F.col("part") == F.col("trunk")), F.lit(False))).drop("trunk"),
+            "open")
+        discard(rows)
+        own, other = open_rows.where("NOT inside").alias("x"), open_rows.alias("y")
+        apart = F.col("x.several") | F.col("y.several") | (F.col("x.part") != F.col("y.part"))
+        able = self.reachable(F.col("x.n"), F.col("x.pos"), F.col("y.n"), F.col("y.pos"))
+        found = staged(
+            own.join(other, (F.col("x.token") == F.col("y.token")) & apart & able
+                     & (F.col("y.inside") | (F.col("x.gid") < F.col("y.gid"))))
+            .select(F.least("x.gid", "y.gid").alias("a"), F.greatest("x.gid", "y.gid").alias("b")).distinct(), "group-pairs")
+        discard(open_rows)
+        return found.unionByName(placed.where("several").select(F.col("gid").alias("a"), F.col("gid").alias("b")))
+
+    def expanded(self, pairs: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
+        """Pairs of members of different parts, for pairs of groups."""
+        members = classes.select("uid", "gid").join(parts, "uid")
+        one = members.select(F.col("gid").alias("a"), F.col("uid").alias("left"), F.col("part").alias("own"))
+        two = members.select(F.col("gid").alias("b"), F.col("uid").alias("right"), F.col("part").alias("other"))
+        return (
+            pairs.join(one, "a").join(two, "b")
+            .where((F.col("own") != F.col("other")) & ((F.col("a") != F.col("b")) | (F.col("left") < F.col("right"))))
+            .select(F.col("left").alias("a"), F.col("right").alias("b")))
+
     def whole_sets(self, classes: DataFrame, uids: DataFrame) -> DataFrame:
         """Whole sets of the given classes."""
         wanted = classes.join(uids.distinct(), "uid", "left_semi").select("uid", "id", "text_hash")
@@ -249,36 +324,21 @@ class _Join:
 
     def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """Pairs (a, b) whose whole sets reach the threshold."""
-        pairs = staged(pairs, "pairs")
         one = sets.select(F.col("uid").alias("a"), F.col("tokens").alias("left"))
         two = sets.select(F.col("uid").alias("b"), F.col("tokens").alias("right"))
         both = F.size(F.array_intersect("left", "right"))
         union = F.size("left") + F.size("right") - both
-        found = staged(
+        return staged(
             pairs.join(one, "a").join(two, "b").where(both * 100 >= union * self.percent).select("a", "b").distinct(), "links")
-        discard(pairs)
-        return found
 
-    def merged(self, parts: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(part, joined) for the parts that links connect, and ``parts`` (uid, part) after it."""
+    def merged(self, parts: DataFrame, links: DataFrame) -> DataFrame:
+        """``parts`` (uid, part) after the links."""
         bridges = (
             links.join(parts.select(F.col("uid").alias("a"), F.col("part").alias("left")), "a")
             .join(parts.select(F.col("uid").alias("b"), F.col("part").alias("right")), "b")
             .select(F.col("left").alias("a"), F.col("right").alias("b")).distinct())
-        change = staged(components(staged(bridges, "bridges")).select(
-            F.col("node").alias("part"), F.col("component").alias("joined")), "merged")
-        return change, staged(_renamed(parts, change), "parts")
-
-    def near(self, n: Column, m: Column) -> Column:
-        return F.least(n, m) * 100 >= F.greatest(n, m) * self.percent
-
-
-def _trunks(members: DataFrame) -> DataFrame:
-    """Per token of several parts: its rows, and the number of rows and name of its largest part."""
-    return (
-        members.groupBy("token", "part").agg(F.count(F.lit(1)).alias("k"))
-        .groupBy("token").agg(F.max(F.struct("k", "part")).alias("most"), F.sum("k").alias("rows"), F.count(F.lit(1)).alias("parts"))
-        .where("parts > 1"))
+        change = components(staged(bridges, "bridges")).select(F.col("node").alias("part"), F.col("component").alias("joined"))
+        return staged(parts.join(change, "part", "left").select("uid", F.coalesce("joined", "part").alias("part")), "parts")
 
 
 def similar_components(
@@ -290,7 +350,7 @@ def similar_components(
     100 * intersection >= percent * union of their sets."""
     tables: list[DataFrame] = []
     with recorded(tables):
-        placed = _placed(_Join(docs, id_col, text_col, words, percent, counters), percent)
+        placed = _placed(_Join(docs, id_col, text_col, words, percent, counters))
     discard(*[t for t in tables if t is not placed])
     least = placed.where("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("least"))
     return placed.join(least, "component", "left").select(
@@ -298,70 +358,37 @@ def similar_components(
         F.when(F.col("component").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"), "component")
 
 
-def _placed(join: _Join, percent: int) -> DataFrame:
+def _placed(join: _Join) -> DataFrame:
     """Rows (id, text_hash, n) with the component of their set."""
     sizes, counts = join.described()
     prefixes = join.classes(counts)
-    classes = staged(prefixes.drop("prefix"), "classes")
-    tokens = prefixes.select(F.explode("prefix").alias("token"), "uid", "n")
-
-    # Groups of at least two classes.
-    shared = staged(
-        tokens.groupBy("token").agg(F.min("uid").alias("least"), F.max("uid").alias("most"))
-        .where("least < most").select("token"), "shared")
-    members = staged(tokens.join(shared, "token", "left_semi").withColumn("part", F.col("uid")), "members")
-    discard(prefixes, shared)
-    sets = join.whole_sets(classes, members.select("uid"))
+    classes, members = join.grouped(prefixes)
+    discard(prefixes)
+    met = join.head_pairs(members)
+    inner = classes.where("uid != gid").select(F.col("uid").alias("a"), F.col("gid").alias("b"))
     parts = staged(classes.select("uid", F.col("uid").alias("part")), "parts")
-    enough = PAIRS_PER_ROW * members.count()
-
-    for turn in range(ROUNDS):
-        # A group whose classes are all of one part can give no further link and is left.
-        chosen = F.min_by(F.struct("uid", "part", "n"), F.xxhash64("uid", F.lit(turn)))
-        heads = staged(
-            members.groupBy("token").agg(chosen.alias("head"), F.min("part").alias("least"), F.max("part").alias("most"))
-            .where("least < most").select("token", "head"), "heads")
-        met = staged(members.join(heads, "token"), "met")
-        discard(members, heads)
-        best = (
-            met.where((F.col("part") != F.col("head.part")) & join.near(F.col("n"), F.col("head.n")))
-            .groupBy("uid", F.col("head.uid").alias("other")).agg(F.count(F.lit(1)).alias("c"))
-            .groupBy("uid").agg(F.max(F.struct("c", "other")).alias("best"))
-            .select(F.col("uid").alias("a"), F.col("best.other").alias("b")))
-        links = join.linked(best, sets)
+
+    ends = met.select("gid", "other").unionByName(inner.toDF("gid", "other"))
+    sets = join.whole_sets(classes, ends.select(F.explode(F.array("gid", "other")).alias("uid")))
+    first = 0
+    for turn in range(HEADS):
+        own, other = (parts.select(F.col("uid").alias(name), F.col("part").alias(f"of_{name}")) for name in ("gid", "other"))
+        met = staged(met.join(own, "gid").join(other, "other").where("of_gid != of_other").select("gid", "other", "c"), "met")
+        best = met.groupBy("gid").agg(F.max_by("other", F.struct("c", "other")).alias("other"))
+        pairs = best.select(F.col("gid").alias("a"), F.col("other").alias("b"))
+        tried = staged(pairs.unionByName(inner) if turn == 0 else pairs, "tried")
+        links = join.linked(tried, sets)
         joined = links.count()
-        first = joined if turn == 0 else first
-        change, parts = join.merged(parts, links)
-        members = staged(_renamed(met.drop("head"), change), "members")
-        discard(met)
-        trunks = _trunks(members)
-        left = trunks.agg(F.sum((F.col("rows") - F.col("most.k")) * F.col("rows"))).collect()[0][0] or 0
-        if joined * FEW <= first or left <= enough:
+        first = first or joined
+        parts = join.merged(parts, links)
+        if joined * FEW <= first:
             break
+        met = met.join(tried.select(F.col("a").alias("gid"), F.col("b").alias("other")), ["gid", "other"], "left_anti")
+    discard(sets)
 
-    # Pairs of different parts, each group's largest part being its trunk.
-    mixed_rows = staged(members.join(trunks.select("token", F.col("most.part").alias("trunk")), "token"), "mixed")
-    discard(members)
-    others = mixed_rows.where("part != trunk").select(
-        "token", F.col("uid").alias("a"), F.col("n").alias("n_a"), F.col("part").alias("own"))
-    everyone = mixed_rows.select(
-        "token", F.col("uid").alias("b"), F.col("n").alias("n_b"), F.col("part").alias("other"),
-        (F.col("part") == F.col("trunk")).alias("in_trunk"))
-    # The shared prefix tokens and what may follow them must reach the overlap that is asked for.
-    need = F.ceil((F.col("n_a") + F.col("n_b")) * percent / (100 + percent))
-    after = F.greatest(*[F.ceil(F.col(n) * percent / 100) - 1 for n in ("n_a", "n_b")])
-    # Which side of a pair is outside the trunk differs by token; its tokens are counted together.
-    ahead = F.col("a") < F.col("b")
-    candidates = (
-        others.join(everyone, "token")
-        .where((F.col("own") != F.col("other")) & (F.col("in_trunk") | ahead)
-               & join.near(F.col("n_a"), F.col("n_b")))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"),
-                F.when(ahead, F.col("n_a")).otherwise(F.col("n_b")).alias("n_a"),
-                F.when(ahead, F.col("n_b")).otherwise(F.col("n_a")).alias("n_b"))
-        .groupBy("a", "b", "n_a", "n_b").agg(F.count(F.lit(1)).alias("c"))
-        .where(F.col("c") + after >= need).select("a", "b"))
-    parts = join.merged(parts, join.linked(candidates, sets))[1]
+    pairs = staged(join.expanded(join.group_pairs(members, classes, parts), classes, parts), "pairs")
+    sets = join.whole_sets(classes, pairs.select(F.explode(F.array("a", "b")).alias("uid")))
+    parts = join.merged(parts, join.linked(pairs, sets))
     groups = classes.select("first", "second", "uid").join(parts, "uid").select("first", "second", F.col("part").alias("component"))
     return staged(sizes.join(groups, ["first", "second"], "left"), "placed")
 
