@@ -12,7 +12,8 @@ at most ``LEXICON`` words; both are broadcast. Scoring covers all rows.
 Null and empty texts have zero features and are scored as such. Repeated rows get equal scores;
 a row labelled twice counts twice. Labels without a value or an id are ignored. If the labels
 hold fewer than two values, every score is their mean (0 without any). An empty table gives an
-empty result. Extra columns are ignored.
+empty result. Extra columns are ignored. Very long texts and words take time in proportion to their
+length; a task holds one text at a time as words.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ FEATURES = (
 )
 
 _WORD = re.compile(r"[^\W\d_]+")
-_ODD = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[\d@$*!|])[\w@$*!|]*[\w@$*|][\w@$*!|]*(?=[.,;:?]?(?:\s|$))")
+_ODD = re.compile(r"(?<!\S)(?=\S*[^\W\d_])(?=\S*[\d@$*!|])[\w@$*!|]++(?=[.,;:?]?(?:\s|$))")
 _REPEAT = re.compile(r"(\w)\1\1|[!?]{2,}")
 _SYMBOL = re.compile(r"[^\w\s.,;:!?'\"()-]")
 
@@ -72,7 +73,7 @@ def text_features(text: str, lexicon: dict[str, float]) -> list[float]:
     letters = sum(map(len, words))
     capitals = sum(map(str.isupper, "".join(words)))
     return [
-        len(hits) / n, sum(weights) / n, max(weights, default=0.0), float(min(len(hits), 50)), near / n, len(you) / n,
+        len(hits) / n, sum(weights) / n, max(weights, default=0.0), float(len(hits)), near / n, len(you) / n,
         capitals / letters, sum(w.isupper() and len(w) > 1 for w in words) / n, text.count("!") / n, text.count("?") / n,
         len(_SYMBOL.findall(text)) / n, len(_REPEAT.findall(text)) / n, len(odd) / n, hidden / n, float(np.log1p(n)),
     ]
