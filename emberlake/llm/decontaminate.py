@@ -12,7 +12,8 @@ of that array are zipped, and seeds are hashes of numbers. Training rows are exp
 and dropped inside one stage; nothing but hits is shuffled. The test seeds are counted and
 broadcast up to a bound; beyond it the join is shuffled.
 
-Null and empty texts, and texts or items shorter than the smallest mask, have no seeds.
+An item of fewer than ``min_words`` words is reported where it stands whole and unchanged. Null and
+empty texts, and texts or items shorter than the smallest mask (six words), have no seeds.
 Repeated rows share their result rows (rows are told apart by id and text). Null ids are kept.
 An empty table on either side gives an empty result. Extra columns are ignored.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from emberlake.llm.common import staged
 
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 3, 5, 6), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 7))
-MIN_WORDS = 12
+MIN_WORDS = 12  # of an overlap; shorter items must match as a whole
 MIN_SHARE = 0.75  # of the words of an overlap that are equal
 BROADCAST_ROWS = 1_000_000  # test seeds, 24 bytes each
 
@@ -112,10 +113,12 @@ def overlaps(
     aligned = staged(
         hits.groupBy("id", "text_hash", "item_id", "here", "there").agg(F.min("window").alias("window")), "aligned")
     run = best_run("window", F.slice("item_words", F.col("there") + 1, F.size("window")))
+    size = F.size("item_words")
+    enough = F.when(size < min_words, F.col("run.matches") == size).otherwise(F.col("run.length") >= min_words)
     found = (
         aligned.join(tests.select("item_id", "item_words"), aligned["item_id"].eqNullSafe(tests["item_id"]))
-        .select("id", "text_hash", aligned["item_id"], "here", run.alias("run"))
-        .where((F.col("run.length") >= min_words) & (F.col("run.matches") >= F.col("run.length") * min_share))
+        .select("id", "text_hash", aligned["item_id"], "here", "item_words", run.alias("run"))
+        .where(enough & (F.col("run.matches") >= F.col("run.length") * min_share))
         .groupBy("id", "text_hash", "item_id")
         .agg(F.max(F.struct("run.matches", "run.length", (F.col("here") + F.col("run.start")).alias("start"))).alias("best"))
     )
