@@ -159,5 +159,6 @@ def identify(
 
 
 def fold_of(id_column: Column, folds: int) -> Column:
-    """Fold of a row: the CRC-32 of its id as text, modulo the number of folds."""
-    return F.pmod(F.crc32(id_column.cast("string").cast("binary")), F.lit(folds))
+    """Fold of a row: the CRC-32 of its id as text, modulo the number of folds. A
+    null id counts as an empty text: fold 0."""
+    return F.pmod(F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")), F.lit(folds))

@@ -1,5 +1,7 @@
 import random
 import re
+import time
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -62,6 +64,20 @@ def test_overlaps_tolerate_substitutions(spark):
     assert decontaminate.overlaps(docs, tests.where("item_id < 3")).count() == 5  # two texts have the id 1
 
 
+def test_short_items_are_found_whole(spark):
+    item = "nine short words that stand in a benchmark item"
+    rows = [(1, f"before {item.title()} after"), (2, item), (3, " ".join(item.split()[:8])), (4, item.replace("short", "long")), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    tests = spark.createDataFrame([(1, item), (2, "only five words of text")], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"], r["start_word"], r["n_words"]) for r in decontaminate.overlaps(docs, tests).collect()}
+    assert got == {(1, 1, 1, 9), (2, 1, 0, 9)}
+
+
+def test_folds_of_null_ids_are_defined(spark):
+    rows = spark.createDataFrame([(None,), (12,)], "doc_id bigint").select("doc_id", language.fold_of(F.col("doc_id"), 5).alias("f"))
+    assert {r["doc_id"]: r["f"] for r in rows.collect()} == {None: 0, 12: zlib.crc32(b"12") % 5}
+
+
 def test_language_is_found_and_edges_are_defined(spark):
     rng = random.Random(8)
     stock = {"en": "the and ing tion of with".split(), "de": "der und ung keit für nicht".split(), "fr": "les eaux é ment ère dans".split()}
@@ -108,3 +124,11 @@ def test_toxicity_features_of_one_text():
     f = dict(zip(toxicity.FEATURES, toxicity.text_features("YOU are a jerk!! id10t j3rk you", {"jerk": 2.0, "idiot": 1.0})))
     assert f["lexicon_hits"] == 1 and f["near_you"] > 0 and f["hidden_lexicon"] > 0 and f["capitals"] > 0 and f["repeats"] > 0
     assert toxicity.text_features("", {}) == [0.0] * len(toxicity.FEATURES)
+
+
+def test_toxicity_of_very_long_words_takes_linear_time():
+    began = time.monotonic()
+    for word in ("a1" * 250_000 + "-", "!" * 500_000 + "-a1-", "a" * 500_000 + "1-"):
+        toxicity.text_features(word, {"jerk": 2.0})
+    assert time.monotonic() - began < 20
+    assert toxicity._ODD.findall("id10t, j3rk! a-1 @ss x1-") == ["id10t", "j3rk!", "@ss"]
