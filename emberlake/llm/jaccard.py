@@ -263,10 +263,11 @@ class _Join:
 
     def head_pairs(self, members: DataFrame) -> DataFrame:
         """(gid, other, c): groups that can link with a head of one of their tokens, and how many
-        tokens say so. Heads are drawn by hash, early ones before others."""
-        drawn = [
-            F.min_by(F.struct("gid", "n", "pos"), F.struct(~F.col("early"), F.xxhash64("gid", F.lit(turn))))
-            for turn in range(HEADS)]
+        tokens say so. The first head has the fewest rarer tokens before this one, so it stands in
+        the middle of its neighbours; the others are drawn by hash, early ones before others."""
+        head = F.struct("gid", "n", "pos")
+        drawn = [F.min_by(head, F.struct("pos", F.xxhash64("gid")))] + [
+            F.min_by(head, F.struct(~F.col("early"), F.xxhash64("gid", F.lit(turn)))) for turn in range(1, HEADS)]
         heads = staged(members.groupBy("token").agg(F.array_distinct(F.array(*drawn)).alias("heads")), "heads")
         met = members.join(heads, "token").select("gid", "n", "pos", F.explode("heads").alias("head"))
         able = self.reachable(F.col("n"), F.col("pos"), F.col("head.n"), F.col("head.pos"))
