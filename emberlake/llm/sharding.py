@@ -1,7 +1,8 @@
 """Shards as runs of a Hilbert curve over document metadata, of near equal bytes.
 
-Each document gets a cell: its metadata dimensions quantised at quantiles over all rows. The
-cells are numbered along a Hilbert curve, so a run of the curve spans a small range in every
+Each document gets a cell: its metadata dimensions quantised at quantiles over all rows. A text
+dimension is quantised by the share of rows whose value comes before it, in order of whole texts,
+so values with a common beginning keep levels of their own. The cells are numbered along a Hilbert curve, so a run of the curve spans a small range in every
 dimension and a reader can skip shards by the ranges of any of them. Cumulative bytes along the
 curve are cut into equal runs.
 
@@ -65,14 +66,6 @@ def curve_column(levels: list[Column], bits: int) -> Column:
     return curve(F.array(*[x.cast("int") for x in levels]))
 
 
-def as_number(name: str, kind: T.DataType) -> Column:
-    """A dimension as a number in its own order; strings by their first six bytes."""
-    if isinstance(kind, T.StringType):
-        head = F.rpad(F.substring(F.hex(F.encode(F.col(name), "utf-8")), 1, 12), 12, "0")
-        return F.conv(head, 16, 10).cast("double")
-    return F.col(name).cast("double")
-
-
 def running(df: DataFrame, order: list[str], weight: str, name: str, label: str) -> DataFrame:
     """``df`` with the sum of ``weight`` over all rows before it in the total order."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -94,23 +87,33 @@ def running(df: DataFrame, order: list[str], weight: str, name: str, label: str)
     )
 
 
+def text_levels(rows: DataFrame, name: str, bits: int) -> DataFrame:
+    """(``name``, level) of every distinct text: where the middle of its rows stands among all rows
+    with a text, in order of the texts, in 2^bits levels."""
+    counts = rows.where(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("_k"))
+    placed = running(counts, [name], "_k", "_place", "shard-texts")
+    total = placed.agg(F.sum("_k")).collect()[0][0] or 1
+    middle = F.floor((F.col("_place") + F.col("_k") / 2) * (1 << bits) / total)
+    return placed.select(name, F.least(middle, F.lit((1 << bits) - 1)).cast("int").alias("level"))
+
+
 def shard(
     docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
     dimensions: tuple[str, ...] = ("lang", "source"), bits: int = BITS,
 ) -> DataFrame:
     """id, size, text_crc32, curve, shard and slot of every row; the text's size is one more
     dimension of the curve."""
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    texts = [i for i, d in enumerate(dimensions) if isinstance(docs.schema[d].dataType, T.StringType)]
     rows = staged(docs.select(
         F.col(id_col).alias("_id"),
         (F.octet_length(text) + 1).cast("bigint").alias("_size"),
         F.crc32(text.cast("binary")).alias("_crc"),
         F.xxhash64(F.col(text_col).isNull(), text).alias("_group"),
-        *[as_number(d, kinds[d]).alias(f"_d{i}") for i, d in enumerate(dimensions)],
+        *[F.col(d).cast("string" if i in texts else "double").alias(f"_d{i}") for i, d in enumerate(dimensions)],
     ), "shard-rows")
-    numbers = [f"_d{i}" for i in range(len(dimensions))] + ["_size"]
+    values = [f"_d{i}" for i in range(len(dimensions))]
+    numbers = [v for i, v in enumerate(values) if i not in texts] + ["_size"]
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
     found = rows.agg(
         F.sum("_size").alias("total"),
@@ -124,11 +127,15 @@ def shard(
         value = F.col(f"head.{n}").cast("double")
         return F.coalesce(F.size(F.filter(bounds, lambda b: b < value)), F.lit(0)).cast("int")
 
+    heads = rows.groupBy("_group").agg(
+        F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"),
+        F.min(F.struct("_id", *values, "_size")).alias("head"))
+    for i in texts:
+        levels = text_levels(rows, values[i], bits).withColumnsRenamed({values[i]: f"_v{i}", "level": f"_l{i}"})
+        heads = heads.withColumn(f"_v{i}", F.col(f"head.{values[i]}")).join(levels, f"_v{i}", "left")
+    cell = [F.coalesce(F.col(f"_l{i}"), F.lit(0)) if i in texts else level(v) for i, v in enumerate(values)]
     groups = (
-        rows.groupBy("_group").agg(
-            F.sum("_size").alias("_bytes"), F.count(F.lit(1)).alias("_rows"),
-            F.min(F.struct("_id", *numbers)).alias("head"))
-        .withColumn("_curve", curve_column([level(n) for n in numbers], bits))
+        heads.withColumn("_curve", curve_column([*cell, level("_size")], bits))
         .select("_group", "_bytes", "_rows", "_curve")
     )
     groups = staged(running(groups, ["_curve", "_group"], "_bytes", "_start", "shard-groups"), "shard-starts")

@@ -2,7 +2,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from emberlake.llm.reputation import filter_urls, page_outcome
-from emberlake.llm.sharding import hilbert_index, shard, write_shards
+from emberlake.llm.sharding import hilbert_index, shard, text_levels, write_shards
 from emberlake.llm.topk import top_k
 
 
@@ -80,3 +80,19 @@ def test_url_rules_and_reputation(spark):
     assert got[8][:2] == ("", "") and got[9][:2] == ("", "") and got[10][:2] == ("h", "")
     assert got[100][3] == "block" and got[200][3] == "allow" and got[500][3] == "allow"  # one page is no evidence
     assert filter_urls(pages.limit(0), page_outcome(F.col("html"))).count() == 0
+
+
+def test_text_levels_follow_whole_texts(spark):
+    rng = np.random.default_rng(2)
+    names = [f"https://host{i}/" for i in range(7)] + ["", "é", None]
+    rows = [names[i] for i in rng.integers(0, len(names), 300)] + [names[3]] * 150
+    table = spark.createDataFrame([(x,) for x in rows], "v string").repartition(5)
+    got = {r["v"]: r["level"] for r in text_levels(table, "v", 4).collect()}
+    known = sorted((x for x in rows if x is not None), key=lambda x: x.encode())
+    middle = {x: (known.index(x) + known.count(x) / 2) * 16 / len(known) for x in set(known)}
+    assert got == {x: int(m) for x, m in middle.items()} and len(set(got.values())) > 5
+    assert text_levels(table.limit(0), "v", 4).count() == 0
+
+    docs = spark.createDataFrame([(i, f"t{i}", x) for i, x in enumerate(rows)], "doc_id bigint, text string, source string")
+    curves = {(r["source"], r["curve"]) for r in shard(docs, dimensions=("source",)).join(docs, "doc_id").collect()}
+    assert len({c for _, c in curves}) > 5
