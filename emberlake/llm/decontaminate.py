@@ -10,7 +10,8 @@ a mask exists whose ignored positions fall on them.
 Everything is expressions over columns: words become 64-bit hashes once a text, shifted copies
 of that array are zipped, and seeds are hashes of numbers. Training rows are exploded, probed
 and dropped inside one stage; nothing but hits is shuffled. The test seeds are counted and
-broadcast up to a bound; beyond it the join is shuffled.
+broadcast up to a bound. Beyond it the join is shuffled: rows of id, place and seed only, and the
+words come back for the alignments that were hit.
 
 An item of fewer than ``min_words`` words is reported where it stands whole and unchanged. Null and
 empty texts, and texts or items shorter than the smallest mask (six words), have no seeds.
@@ -85,7 +86,7 @@ def best_run(left: Column, right: Column) -> Column:
 def overlaps(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     item_id_col: str = "item_id", item_text_col: str = "text", masks=MASKS,
-    min_words: int = MIN_WORDS, min_share: float = MIN_SHARE,
+    min_words: int = MIN_WORDS, min_share: float = MIN_SHARE, broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """(id, text_hash, item_id, start_word, n_words, n_matches): per document and item the longest
     verified overlap; start_word counts the document's words from 0."""
@@ -95,8 +96,7 @@ def overlaps(
     seeds = staged(
         seed_rows(tests.withColumn("item_size", F.size("item_words")), ["item_id", "item_size"], masks)
         .select("seed", "item_id", "item_size", F.col("pos").alias("item_pos")), "item-seeds")
-    if seeds.count() <= BROADCAST_ROWS:
-        seeds = F.broadcast(seeds)
+    few = seeds.count() <= broadcast_rows
     words = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash"),
         words_of(F.col(text_col)).alias("words"))
@@ -104,11 +104,16 @@ def overlaps(
     shift = F.col("pos") - F.col("item_pos")
     here, there = F.greatest(shift, F.lit(0)), F.greatest(-shift, F.lit(0))
     length = F.least(F.size("words") - here, F.col("item_size") - there)
-    hits = (
-        seed_rows(hashed, ["id", "text_hash", "words"], masks).join(seeds, "seed")
-        .select("id", "text_hash", "item_id", here.alias("here"), there.alias("there"),
-                F.slice("words", here + 1, length).alias("window"))
-    )
+    key = ["id", "text_hash"]
+    if few:
+        met = seed_rows(hashed, [*key, "words"], masks).join(F.broadcast(seeds), "seed")
+    else:
+        met = staged(
+            seed_rows(hashed, key, masks).join(seeds, "seed").select(*key, "item_id", "item_size", shift.alias("pos"))
+            .distinct().withColumn("item_pos", F.lit(0)), "alignments")
+        same = met["id"].eqNullSafe(words["id"]) & (met["text_hash"] == words["text_hash"])
+        met = met.join(words, same).select(*[met[c] for c in met.columns], "words")
+    hits = met.select(*key, "item_id", here.alias("here"), there.alias("there"), F.slice("words", here + 1, length).alias("window"))
     # One row an alignment; its window is the same in every hit.
     aligned = staged(
         hits.groupBy("id", "text_hash", "item_id", "here", "there").agg(F.min("window").alias("window")), "aligned")
