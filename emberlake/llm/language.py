@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 1024
 GRAM = 3
-LETTERS = 4096  # letter vectors; code points beyond share them
+LETTERS = 4096  # letter vectors made at once; those of further code points are made as they come
+POINTS = 1 << 21  # above every code point
 KEPT = 20_000  # n-gram vectors a worker remembers
 UNIT = 1 << 20  # texts are summed as whole numbers of this fraction
 UNKNOWN = "und"
@@ -35,7 +36,10 @@ _OTHER = re.compile(r"[\W\d_]+")
 
 class _Profile:
     def __init__(self, dimensions: int, gram: int):
+        if POINTS**gram > 1 << 63:
+            raise ValueError("n-grams of more than three letters have no number of 64 bits")
         self.gram = gram
+        self.rare: dict[int, np.ndarray] = {}
         rng = np.random.default_rng(4096)
         signs = rng.integers(0, 2, (LETTERS, dimensions), dtype=np.int8) * np.int8(2) - np.int8(1)
         self.rotated = [np.roll(signs, gram - 1 - i, axis=1) for i in range(gram)]
@@ -47,19 +51,34 @@ class _Profile:
         if not any(map(str.isalpha, text)):
             return np.empty(0, np.int64)
         letters = " " + _OTHER.sub(" ", text.lower()).strip() + " "
-        points = np.frombuffer(letters.encode("utf-32-le"), np.uint32).astype(np.int64) % LETTERS
+        points = np.frombuffer(letters.encode("utf-32-le"), np.uint32).astype(np.int64)
         n = max(0, len(points) - self.gram + 1)
         code = np.zeros(n, np.int64)
         for i in range(self.gram):
-            code = code * LETTERS + points[i : i + n]
+            code = code * POINTS + points[i : i + n]
         return code
 
     def bound(self, codes: np.ndarray) -> np.ndarray:
         out = np.ones((len(codes), self.vectors.shape[1]), np.int8)
         for i in range(self.gram):
-            out *= self.rotated[i][(codes // LETTERS ** (self.gram - 1 - i)) % LETTERS]
+            points = codes // POINTS ** (self.gram - 1 - i) % POINTS
+            often = points < LETTERS
+            out[often] *= self.rotated[i][points[often]]
+            if not often.all():
+                found, where = np.unique(points[~often], return_inverse=True)
+                signs = np.stack([self.rare_letter(int(p)) for p in found])
+                out[~often] *= np.roll(signs, self.gram - 1 - i, axis=1)[where]
         return out.astype(np.float32)
 
+    def rare_letter(self, point: int) -> np.ndarray:
+        """Vector of a code point beyond the table, from a seed of its own."""
+        if point not in self.rare:
+            if len(self.rare) >= KEPT:
+                self.rare.clear()
+            signs = np.random.default_rng([4096, point]).integers(0, 2, self.vectors.shape[1], dtype=np.int8)
+            self.rare[point] = signs * np.int8(2) - np.int8(1)
+        return self.rare[point]
+
     def bundles(self, texts: list[str]) -> np.ndarray:
         """Bundle of every text, as a product of n-gram counts and n-gram vectors."""
         grams = [np.unique(self.codes(t), return_counts=True) for t in texts]

@@ -3,6 +3,7 @@ import re
 import time
 import zlib
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from emberlake.llm import decontaminate, language, secret_scan, toxicity
@@ -132,3 +133,42 @@ def test_toxicity_of_very_long_words_takes_linear_time():
         toxicity.text_features(word, {"jerk": 2.0})
     assert time.monotonic() - began < 20
     assert toxicity._ODD.findall("id10t, j3rk! a-1 @ss x1-") == ["id10t", "j3rk!", "@ss"]
+
+
+def test_letters_of_any_script_have_vectors_of_their_own(spark):
+    rng = np.random.default_rng(3)
+    far = language.LETTERS  # one alphabet is the other moved by the size of the table
+    alphabets = {"a": [0x4E00 + i for i in range(40)], "b": [0x4E00 + far + i for i in range(40)]}
+    rows = [(i, "".join(chr(c) for c in rng.choice(alphabets["ab"[i % 2]], 60)), "ab"[i % 2]) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    learned = language.prototypes(docs.where("doc_id < 20"))
+    assert abs(float(learned["a"] @ learned["b"])) < 0.2
+    profile = language._Profile(256, 3)
+    texts = [rows[0][1], "plain \U0001F600 words 漢字 x", ""]
+    got = profile.bundles(texts)
+    for text, bundle in zip(texts, got):
+        points = [(c >> 42, (c >> 21) % (1 << 21), c % (1 << 21)) for c in map(int, profile.codes(text))]
+        letter = lambda p: profile.rotated[2][p] if p < far else profile.rare_letter(p)
+        brute = sum((np.roll(letter(a), 2) * np.roll(letter(b), 1) * letter(c)).astype(int) for a, b, c in points)
+        assert (bundle == brute).all()
+
+
+def test_shuffled_seeds_give_the_same_overlaps(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(300)]
+    items = [(i, " ".join(rng.choice(words, 30))) for i in range(20)] + [(90, " ".join(words[:8]))]
+    texts = []
+    for i in range(60):
+        own = list(rng.choice(words, 40))
+        if i % 2:
+            passage = items[i % len(items)][1].split()
+            passage[len(passage) // 2] = "changed" if i % 3 else passage[len(passage) // 2]
+            own[10:10] = passage
+        texts.append((i, " ".join(own)))
+    texts += [texts[1], (None, texts[1][1]), (70, None), (71, "")]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(5)
+    tests = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    near = rows(decontaminate.overlaps(docs, tests))
+    assert near == rows(decontaminate.overlaps(docs, tests, broadcast_rows=0))
+    assert {r[0] for r in near} == {None, *range(1, 60, 2)} - {41}  # the short item, with a changed word
