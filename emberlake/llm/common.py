@@ -99,14 +99,17 @@ def byte_slices(column):
 
 
 class Rolling:
-    """Polynomial hash modulo 2^64 over randomly coded bytes; any window costs O(1).
+    """Polynomial hash modulo 2^64 over randomly coded pairs of neighbouring bytes; any window of
+    two or more bytes costs O(1).
 
     The base is odd and so invertible, which makes equal windows hash equally wherever they
-    stand. The codes come from a fixed seed: every executor computes the same hashes."""
+    stand. Codes of single bytes would give a Thue-Morse word and its complement one hash,
+    whatever the base; those of pairs do not cancel. The codes come from a fixed seed: every
+    executor computes the same hashes."""
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
-        self.codes = rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.codes = rng.integers(0, 2**64, 1 << 16, dtype=np.uint64)
         self.base = int(rng.integers(2**40, 2**62)) * 8 + 5
         self.inverse = pow(self.base, -1, 2**64)
         self._powers = self._inverses = np.ones(1, np.uint64)
@@ -125,15 +128,17 @@ class Rolling:
         return self._powers[:n], self._inverses[:n]
 
     def prefix(self, data: np.ndarray) -> np.ndarray:
-        """Prefix sums; entry i covers the first i bytes."""
-        out = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(self.codes[data] * self.powers(len(data))[0], out=out[1:])
+        """Prefix sums; entry i covers the pairs that begin in the first i bytes."""
+        n = max(len(data) - 1, 0)
+        out = np.zeros(n + 1, np.uint64)
+        pairs = data[:-1].astype(np.uint16) << np.uint16(8) | data[1:]
+        np.cumsum(self.codes[pairs] * self.powers(n)[0], out=out[1:])
         return out
 
     def windows(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of the byte ranges [start, end)."""
         inverses = self.powers(len(prefix))[1]
-        return mixed((prefix[ends] - prefix[starts]) * inverses[starts])
+        return mixed((prefix[ends - 1] - prefix[starts]) * inverses[starts])
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

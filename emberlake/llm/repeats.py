@@ -12,13 +12,13 @@ one, so a run of windows is one row of the first passes:
 2. digit: the whole run around the anchor. Equal runs are repeated throughout and are counted,
    not listed, so a passage copied a million times is one group with a count.
 3. digit: each window of the runs that share an anchor but differ. One run stands for all equal
-   ones. Window hashes are counted by partial sums, and those counted more than once are joined
-   back to the runs that occur once.
+   ones. Windows are counted by (anchor, hash) in partial sums, and those counted more than once
+   are joined back to the runs that occur once.
 
 Runs and windows are written, never pairs. No group is held in one task: counts are aggregates,
 and the join has one row a hash on one side, so adaptive execution can split a hot one.
 
-Hashes have 64 bits (runs 128). Nulls count as empty texts; texts shorter than the threshold
+Runs and windows are told apart by 128 bits or more, anchors included. Nulls count as empty texts; texts shorter than the threshold
 lose nothing. Repeated rows count as occurrences, also with equal or null ids, and each row gets
 its result. An empty table gives an empty result. Extra columns are ignored.
 """
@@ -125,22 +125,23 @@ def _hash_windows(schema: T.StructType, threshold: int, group: int):
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
                 listed = part.column(1).to_pylist()
-                numbers, lists = [], []
+                anchors, numbers, lists = [], [], []
                 for i, data in byte_slices(part.column(0)):
                     for run in listed[i]:
                         s, count = run["start"], run["windows"]
+                        anchors.append(run["anchor"])
                         numbers.append(run["number"])
                         lists.append(window_hashes(data[s : s + count + threshold - 1], threshold).view(np.int64))
                         if len(lists) == group:
-                            yield written(pa, numbers, lists)
-                            numbers, lists = [], []
+                            yield written(pa, anchors, numbers, lists)
+                            anchors, numbers, lists = [], [], []
                 if lists:
-                    yield written(pa, numbers, lists)
+                    yield written(pa, anchors, numbers, lists)
 
-    def written(pa, numbers: list, lists: list):
+    def written(pa, anchors: list, numbers: list, lists: list):
         offsets = np.cumsum([0, *map(len, lists)]).astype(np.int32)
         return pa.RecordBatch.from_arrays([
-            pa.array(numbers, pa.int64()),
+            pa.array(anchors, pa.int64()), pa.array(numbers, pa.int64()),
             pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(lists)))], schema.names)
 
     return expand
@@ -231,24 +232,24 @@ def _repeated_spans(
         .where("runs > 1 AND least = 1").select("anchor")
     )
     wanted = staged(
-        classes.join(mixed_groups, "anchor").select("at", "windows", "n").withColumn("number", F.monotonically_increasing_id()),
+        classes.join(mixed_groups, "anchor").select("anchor", "at", "windows", "n").withColumn("number", F.monotonically_increasing_id()),
         "wanted")
     lone = F.col("n") == 1
     by_text = wanted.groupBy("at.id", "at.text_hash").agg(F.collect_list(F.struct(
-        F.col("at.start").alias("start"), "windows", F.when(lone, F.col("number")).alias("number"))).alias("runs"))
+        F.col("at.start").alias("start"), "windows", "anchor", F.when(lone, F.col("number")).alias("number"))).alias("runs"))
     one_text = keyed.where(long)
     listed = one_text.alias("d").join(
         by_text.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id")) & (F.col("d.text_hash") == F.col("w.text_hash"))
     ).select("d.text", "w.runs")
     window_schema = T.StructType([
-        T.StructField("number", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
+        T.StructField("anchor", T.LongType()), T.StructField("number", T.LongType()), T.StructField("hashes", T.ArrayType(T.LongType()))])
     hashed = staged(listed.mapInArrow(_hash_windows(window_schema, threshold, group), window_schema), "hashes")
     more = staged(
-        hashed.select(F.explode("hashes").alias("hash")).groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select("hash"), "repeated")
+        hashed.select("anchor", F.explode("hashes").alias("hash")).groupBy("anchor", "hash").agg(F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select("anchor", "hash"), "repeated")
     windows = staged(
-        hashed.where("number IS NOT NULL").select("number", F.posexplode("hashes").alias("place", "hash"))
-        .join(more, "hash", "left_semi").select("number", "place"), "windows")
+        hashed.where("number IS NOT NULL").select("anchor", "number", F.posexplode("hashes").alias("place", "hash"))
+        .join(more, ["anchor", "hash"], "left_semi").select("number", "place"), "windows")
     discard(hashed, more)
     partly = windows.join(wanted.where(lone).select("number", "at"), "number").select(
         "at.id", "at.text_hash", (F.col("at.start") + F.col("place")).alias("start"),

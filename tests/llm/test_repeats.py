@@ -85,3 +85,10 @@ def test_digest_is_of_kept_bytes(spark):
     docs = spark.createDataFrame([(1, "héllo")], "doc_id bigint, text string")
     row = remove_repeats(docs).collect()[0]
     assert hashlib.sha256(bytes(row["kept"])).hexdigest() == hashlib.sha256("héllo".encode()).hexdigest()
+
+
+def test_complementary_words_are_not_repeats(spark):
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    other = word.translate(str.maketrans("ab", "ba"))
+    check(spark, [(1, word[:1024]), (2, other[:1024])], 1024, 8)
+    check(spark, [(1, "x" + word), (2, "y" + other), (3, word[512:1600])], 1024, 128)
