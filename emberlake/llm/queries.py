@@ -174,7 +174,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_conversation_repair": op13_conversation_repair,
 }
 SQL: dict[str, str] = {
-    "op5_url_reputation": reference_sql.url_filter(reputation.Z, reputation.LIMIT, *reputation.STRENGTHS, reputation.BAD_SHARE),
+    "op5_url_reputation": reference_sql.url_filter(reputation.Z, reputation.LIMIT, *reputation.STRENGTHS, reputation.BAD_SHARE, reputation.SUFFIXES),
     "op7_ngram_jaccard_join": reference_sql.JACCARD,
     "op10_histogram_topk": reference_sql.TOP_K,
 }

@@ -23,7 +23,7 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
-def url_filter(z: float, limit: float, low: float, high: float, share: float) -> str:
+def url_filter(z: float, limit: float, low: float, high: float, share: float, suffixes: tuple[str, ...]) -> str:
     """The rules as in the library's ``RULES``, and the same shrinkage level by level."""
     host = r"lower_az(COALESCE(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''))".replace("lower_az(", "translate(").replace(
         ", ''))", ", ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
@@ -34,20 +34,24 @@ def url_filter(z: float, limit: float, low: float, high: float, share: float) ->
 
     def level(table: str, parent: str, known: str) -> str:
         m = f"greatest(least({parent}, 0.9999), 0.0001)"
-        return f"""(SELECT *, (m * prior + bad) / (prior + n) AS mean, prior + n AS size FROM (
+        return f"""(SELECT *, COALESCE((m * prior + bad) / NULLIF(prior + n, 0), m) AS mean, prior + n AS size FROM (
           SELECT t.*, {m} AS m, least(CASE WHEN f.spread IS NULL OR f.spread <= 0 THEN {high} ELSE least({high}, greatest({low}, f.inside / f.spread - 1)) END, {known}) AS prior
-          FROM {table} t, (SELECT SUM(n * (power(bad / n - {m}, 2) - {m} * (1 - {m}) / n)) / SUM(n) AS spread, SUM(n * {m} * (1 - {m})) / SUM(n) AS inside FROM {table}) f))"""
+          FROM {table} t, (SELECT SUM(n * power(bad / NULLIF(n, 0) - {m}, 2) - {m} * (1 - {m})) / NULLIF(SUM(n), 0) AS spread, SUM(n * {m} * (1 - {m})) / NULLIF(SUM(n), 0) AS inside FROM {table}) f))"""
+
+    def labels(k: int) -> str:
+        return f"array_to_string(list_slice(string_split(host, '.'), -{k}, -1), '.')"
 
     text = r"regexp_replace(html, '<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>', ' ', 'gs')"
     return rf"""
 WITH p AS (SELECT page_id, html, {host} AS host, COALESCE(regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's'), '') AS path FROM pages),
-o AS (SELECT host, CAST(len(regexp_extract_all(t, '(?:[%#*$~^|]{{3,}}|(?:&amp;){{3,}}|&{{3,}})(?:\s|$)')) > {share} * len(regexp_extract_all(t, '\S+')) AS INTEGER) AS bad
-  FROM (SELECT host, {text} AS t FROM p) WHERE len(regexp_extract_all(t, '\S+')) > 0),
-h AS (SELECT host, CAST(COUNT(*) AS DOUBLE) AS n, CAST(SUM(bad) AS DOUBLE) AS bad,
-  array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain, list_last(string_split(host, '.')) AS suffix FROM o GROUP BY host),
+o AS (SELECT host, CASE WHEN len(regexp_extract_all(t, '\S+')) > 0 THEN CAST(len(regexp_extract_all(t, '(?:[%#*$~^|]{{3,}}|(?:&amp;){{3,}}|&{{3,}})(?:\s|$)')) > {share} * len(regexp_extract_all(t, '\S+')) AS INTEGER) END AS bad
+  FROM (SELECT host, {text} AS t FROM p)),
+h AS (SELECT host, CAST(COUNT(bad) AS DOUBLE) AS n, CAST(COALESCE(SUM(bad), 0) AS DOUBLE) AS bad,
+  CASE WHEN {labels(2)} IN {suffixes} THEN {labels(3)} ELSE {labels(2)} END AS domain,
+  CASE WHEN {labels(2)} IN {suffixes} THEN {labels(2)} ELSE {labels(1)} END AS suffix FROM o GROUP BY host),
 d AS (SELECT domain, suffix, SUM(n) AS n, SUM(bad) AS bad FROM h GROUP BY 1, 2),
 s AS (SELECT suffix, SUM(n) AS n, SUM(bad) AS bad FROM d GROUP BY 1),
-s1 AS (SELECT s.*, t.rate AS parent, t.total AS known FROM s, (SELECT SUM(bad) / SUM(n) AS rate, SUM(n) AS total FROM s) t),
+s1 AS (SELECT s.*, t.rate AS parent, t.total AS known FROM s, (SELECT COALESCE(SUM(bad) / NULLIF(SUM(n), 0), 0) AS rate, SUM(n) AS total FROM s) t),
 s2 AS (SELECT * FROM {level("s1", "parent", "known")}),
 d1 AS (SELECT d.*, s2.mean AS parent, s2.size AS known FROM d JOIN s2 USING (suffix)),
 d2 AS (SELECT * FROM {level("d1", "parent", "known")}),

@@ -1,15 +1,22 @@
 """URL filter: rules first, then empirical-Bayes reputation of the host.
 
 Labelled page outcomes are counted by host. Each level is shrunk towards the one above it by a
-beta-binomial prior: host to registered domain, domain to suffix, suffix to the overall rate.
+beta-binomial prior: host to registered domain, domain to suffix, suffix to the overall rate. A
+suffix is the last label, or the last two where registrars sell names below both (``SUFFIXES``); the
+registered domain is the suffix and the label before it.
 The strength of each prior comes from the spread between siblings (method of moments), so levels
 whose members differ a lot lend little. A host is blocked when even the lower bound of its
 posterior bad rate is above the limit.
 
+``filter_urls`` takes any outcome column, so labels of a trusted source serve as well as
+``page_outcome``, the rule the query uses because the pages carry no label. An unlabelled host is
+judged by its domain, or else its suffix, or else the overall rate.
+
 Counts are exact and the tables are one row a host, domain or suffix; pages meet the verdicts of
 their host in a join that adaptive execution splits when one host holds a third of the pages.
 
-A null url, or one without ://, has an empty host and path. Unlabelled pages count nowhere.
+A null url, or one without ://, has an empty host and path. Rules of equal length that fit one page
+are settled by code point order, the later one wins. Unlabelled pages count nowhere.
 Repeated rows count each time. An empty table gives an empty result. Extra columns are ignored.
 """
 
@@ -23,6 +30,14 @@ from emberlake.llm.common import staged
 RULES = (
     ("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"),
 )
+# Public suffixes of two labels.
+SUFFIXES = (
+    "ac.jp", "ac.nz", "ac.uk", "ac.za", "co.id", "co.il", "co.in", "co.jp", "co.ke", "co.kr", "co.nz", "co.th", "co.uk",
+    "co.za", "com.ar", "com.au", "com.bo", "com.br", "com.cn", "com.co", "com.ec", "com.eg", "com.hk", "com.mx", "com.my",
+    "com.ng", "com.pe", "com.ph", "com.pk", "com.pl", "com.py", "com.sg", "com.tr", "com.tw", "com.ua", "com.uy", "com.ve",
+    "com.vn", "edu.ar", "edu.au", "edu.br", "edu.uy", "gob.ar", "gob.mx", "gov.au", "gov.br", "gov.uk", "gub.uy", "ne.jp",
+    "net.au", "net.br", "net.uy", "or.jp", "or.kr", "org.ar", "org.au", "org.br", "org.uk", "org.uy", "org.za",
+)
 Z = 1.645  # one-sided 95 %
 LIMIT = 0.5
 BAD_SHARE = 0.1  # of a page's words
@@ -58,9 +73,11 @@ def page_outcome(html: Column, share: float = BAD_SHARE) -> Column:
     return F.when(words > 0, (junk > share * words).cast("int"))
 
 
-def levels(host: Column) -> tuple[Column, Column]:
-    """Registered domain (last two labels) and suffix (last label) of a host."""
-    return F.substring_index(host, ".", -2), F.substring_index(host, ".", -1)
+def levels(host: Column, suffixes=SUFFIXES) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host."""
+    last, two, three = (F.substring_index(host, ".", -n) for n in (1, 2, 3))
+    wide = two.isin(*suffixes)
+    return F.when(wide, three).otherwise(two), F.when(wide, two).otherwise(last)
 
 
 def _shrunk(table: DataFrame, parent: Column, known: Column) -> tuple[Column, Column]:
@@ -73,19 +90,19 @@ def _shrunk(table: DataFrame, parent: Column, known: Column) -> tuple[Column, Co
     m = F.greatest(F.least(parent, F.lit(0.9999)), F.lit(0.0001))
     n, bad = F.col("n"), F.col("bad")
     spread, inner = table.agg(
-        F.sum(n * (F.pow(bad / n - m, F.lit(2)) - m * (1 - m) / n)) / F.sum(n), F.sum(n * m * (1 - m)) / F.sum(n),
+        F.try_divide(F.sum(n * F.pow(F.try_divide(bad, n) - m, F.lit(2)) - F.when(n > 0, m * (1 - m))), F.sum(n)),
+        F.try_divide(F.sum(n * m * (1 - m)), F.sum(n)),
     ).collect()[0]
     strength = high if not spread or spread <= 0 else min(high, max(low, inner / spread - 1))
     prior = F.least(F.lit(float(strength)), known)
-    return (m * prior + bad) / (prior + n), prior + n
+    return F.coalesce(F.try_divide(m * prior + bad, prior + n), m), prior + n
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
-    """Posterior of every host from (host, bad); rows with a null outcome count nowhere."""
-    domain, suffix = levels(F.col("host"))
+def host_reputation(outcomes: DataFrame, suffixes=SUFFIXES) -> DataFrame:
+    """Posterior of every host from (host, bad); null outcomes count nowhere."""
+    domain, suffix = levels(F.col("host"), suffixes)
     hosts = staged(
-        outcomes.where(F.col("bad").isNotNull()).groupBy("host")
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad"))
+        outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         .withColumn("domain", domain).withColumn("suffix", suffix), "hosts")
     domains = hosts.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -103,13 +120,13 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
 
 
 def filter_urls(
-    pages: DataFrame, bad: Column, url_col: str = "url", rules=RULES, limit: float = LIMIT,
+    pages: DataFrame, bad: Column, url_col: str = "url", rules=RULES, limit: float = LIMIT, suffixes=SUFFIXES,
 ) -> DataFrame:
     """All columns of ``pages`` but those of the same names, with host, path, rule, verdict,
     and the lower bound of the host's bad rate (``bad_rate_bound``)."""
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "bad_rate_bound")]
     host, path = url_host(F.col(url_col)), url_path(F.col(url_col))
-    scores = staged(host_reputation(pages.select(host.alias("host"), bad.cast("bigint").alias("bad")))
+    scores = staged(host_reputation(pages.select(host.alias("host"), bad.cast("bigint").alias("bad")), suffixes)
                     .select("host", F.col("lower").alias("bad_rate_bound")), "reputation")
     name, verdict = rule_columns(F.col("host"), F.col("path"), rules)
     judged = F.when(F.col("bad_rate_bound") > limit, F.lit("block")).otherwise(F.lit("allow"))

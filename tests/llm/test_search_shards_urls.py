@@ -1,7 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from emberlake.llm.reputation import filter_urls, page_outcome
+from emberlake.llm.reference_sql import url_filter
+from emberlake.llm.reputation import BAD_SHARE, LIMIT, STRENGTHS, SUFFIXES, Z, filter_urls, host_reputation, levels, page_outcome
 from emberlake.llm.sharding import hilbert_index, shard, text_levels, write_shards
 from emberlake.llm.topk import top_k
 
@@ -82,6 +83,35 @@ def test_url_rules_and_reputation(spark):
     assert filter_urls(pages.limit(0), page_outcome(F.col("html"))).count() == 0
 
 
+def test_posterior_blocks_and_shields_through_domain_and_suffix(spark):
+    import duckdb
+
+    bad, good = "spam%%% words### here$$$", "a b c d e f g h i j"
+    rows = [(f"http://{h}/{i}", bad if i < k else good) for h, n, k in (
+        ("www.farm.co.uk", 80, 80), ("m.farm.co.uk", 60, 58), ("new.farm.co.uk", 1, 1), ("late.farm.co.uk", 1, 0),
+        ("www.paper.co.uk", 90, 1), ("blog.paper.co.uk", 1, 1), ("www.shop.com.uy", 200, 2), ("mine.info", 120, 0),
+        ("mirror.mine.info", 2, 2), ("uk", 5, 0), ("co.uk", 3, 0)) for i in range(n)]
+    rows += [("http://mute.farm.co.uk/1", None), ("http://mute.paper.co.uk/1", "<p></p>"), ("http://nowhere.zz/", None), (None, bad), ("", None)]
+    pages = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id bigint, url string, html string")
+    found = filter_urls(pages, page_outcome(F.col("html")))
+    got = {(r["page_id"], r["host"], r["path"], r["rule"], r["verdict"]) for r in found.collect()}
+    verdicts = {host: verdict for _, host, _, _, verdict in got}
+    # One bad page, or none at all, under a bad domain; one or two bad pages under a good domain.
+    assert all(verdicts[f"{h}.farm.co.uk"] == "block" for h in ("www", "m", "new", "mute"))
+    assert all(verdicts[h] == "allow" for h in ("www.paper.co.uk", "blog.paper.co.uk", "mute.paper.co.uk", "mirror.mine.info", "nowhere.zz", "co.uk"))
+
+    with duckdb.connect() as db:
+        db.register("pages", pages.toPandas())
+        want = db.sql(url_filter(Z, LIMIT, *STRENGTHS, BAD_SHARE, SUFFIXES)).fetchall()
+    assert got == set(want) and len(want) == len(rows)
+
+    hosts = spark.createDataFrame([("a.b.co.uk",), ("co.uk",), ("uk",), ("a.b.c",), ("",)], "host string")
+    assert [tuple(r) for r in hosts.select(*levels(F.col("host"))).collect()] == [
+        ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("uk", "uk"), ("b.c", "c"), ("", "")]
+    unlabelled = pages.select(F.col("url").alias("host"), F.lit(None).cast("bigint").alias("bad"))
+    assert host_reputation(unlabelled).where("lower > 0.5 OR lower IS NULL").count() == 0
+
+
 def test_text_levels_follow_whole_texts(spark):
     rng = np.random.default_rng(2)
     names = [f"https://host{i}/" for i in range(7)] + ["", "é", None]
