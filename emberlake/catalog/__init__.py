@@ -5,8 +5,8 @@ from __future__ import annotations
 
 def _load() -> None:
     from emberlake.catalog import (  # noqa: F401
-        queries_core, queries_files, queries_forms, queries_more, queries_relational, queries_reports,
-        queries_upkeep,
+        queries_core, queries_files, queries_forms, queries_more, queries_profiles, queries_relational,
+        queries_reports, queries_upkeep,
     )
 
 
