@@ -98,18 +98,28 @@ def byte_slices(column):
         yield i, raw[at[i] : at[i + 1]] if valid[i] else raw[:0]
 
 
+_PAIR_CODES = np.random.default_rng(11).integers(0, 2**64, 1 << 16, dtype=np.uint64)
+
+
+def pair_codes(data: np.ndarray) -> np.ndarray:
+    """Random codes of all pairs of neighbouring bytes."""
+    pairs = data[:-1].astype(np.intp)
+    pairs <<= 8
+    pairs |= data[1:]
+    return _PAIR_CODES.take(pairs)
+
+
 class Rolling:
-    """Polynomial hash modulo 2^64 over randomly coded pairs of neighbouring bytes; any window of
-    two or more bytes costs O(1).
+    """Polynomial hash modulo 2^64 over ``pair_codes`` of a text; any window of two or more bytes
+    costs O(1). Hashes of different seeds have different bases.
 
     The base is odd and so invertible, which makes equal windows hash equally wherever they
     stand. Codes of single bytes would give a Thue-Morse word and its complement one hash,
-    whatever the base; those of pairs do not cancel. The codes come from a fixed seed: every
+    whatever the base; those of pairs do not cancel. Codes and bases come from fixed seeds: every
     executor computes the same hashes."""
 
     def __init__(self, seed: int):
         rng = np.random.default_rng(seed)
-        self.codes = rng.integers(0, 2**64, 1 << 16, dtype=np.uint64)
         self.base = int(rng.integers(2**40, 2**62)) * 8 + 5
         self.inverse = pow(self.base, -1, 2**64)
         self._powers = self._inverses = np.ones(1, np.uint64)
@@ -127,12 +137,10 @@ class Rolling:
             self._inverses = self._grown(self._inverses, self.inverse, n)
         return self._powers[:n], self._inverses[:n]
 
-    def prefix(self, data: np.ndarray) -> np.ndarray:
+    def prefix(self, codes: np.ndarray) -> np.ndarray:
         """Prefix sums; entry i covers the pairs that begin in the first i bytes."""
-        n = max(len(data) - 1, 0)
-        out = np.zeros(n + 1, np.uint64)
-        pairs = data[:-1].astype(np.uint16) << np.uint16(8) | data[1:]
-        np.cumsum(self.codes[pairs] * self.powers(n)[0], out=out[1:])
+        out = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(codes * self.powers(len(codes))[0], out=out[1:])
         return out
 
     def windows(self, prefix: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

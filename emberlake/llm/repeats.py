@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emberlake.llm.common import Rolling, byte_slices, discard, staged
+from emberlake.llm.common import Rolling, byte_slices, discard, pair_codes, staged
 
 THRESHOLD = 400
 DEPTH = 128
@@ -68,7 +68,8 @@ def runs_of(data: np.ndarray, threshold: int = THRESHOLD, depth: int = DEPTH) ->
     last = len(data) - threshold + 1
     for at in range(0, last, CHUNK):
         piece = data[at : min(at + CHUNK, last) + threshold - 1]
-        prefix, other = one.prefix(piece), two.prefix(piece)
+        codes = pair_codes(piece)
+        prefix, other = one.prefix(codes), two.prefix(codes)
         places = np.arange(len(piece) - depth + 1)
         grams = one.windows(prefix, places, places + depth)
         least = sliding_min((grams & ~_PLACE) | places.astype(np.uint64), threshold - depth + 1)
@@ -85,7 +86,7 @@ def runs_of(data: np.ndarray, threshold: int = THRESHOLD, depth: int = DEPTH) ->
 
 
 def window_hashes(data: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
-    prefix = _rolling()[1].prefix(data)
+    prefix = _rolling()[1].prefix(pair_codes(data))
     starts = np.arange(len(data) - threshold + 1)
     return _rolling()[1].windows(prefix, starts, starts + threshold)
 
