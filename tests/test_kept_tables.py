@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from emberlake import session
 from emberlake.catalog.domain import Domain
+from emberlake.operators import associate as A
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -43,3 +44,15 @@ def test_staging_stores_no_verdict_and_fact_no_second_copy(spark):
     domain.verdicts("FIRMS")
     again = domain._staged("FIRMS").select("natural_key", "record_hash").collect()
     assert sorted(fact) == sorted(again) and fact
+
+
+def test_links_read_the_spots_once(spark, monkeypatch):
+    written = []
+    keep = A.materialise
+    monkeypatch.setattr(A, "materialise", lambda df, label: written.append(label) or keep(df, label))
+    domain = Domain(spark, FOLDER)
+    facts = domain.fact
+    dims = (domain.dim_weather, domain.dim_rain, domain.dim_cover, domain.dim_air)
+    linked = A.link_all(facts, *dims)
+    assert written.count("spots") == 1
+    assert linked.count() == facts.count()
