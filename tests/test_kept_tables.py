@@ -56,3 +56,23 @@ def test_links_read_the_spots_once(spark, monkeypatch):
     linked = A.link_all(facts, *dims)
     assert written.count("spots") == 1
     assert linked.count() == facts.count()
+
+
+def test_levels_shuffle_places_and_reach_only(spark, monkeypatch):
+    """Candidates are ranked where the places stand, and what goes on needs no second join."""
+    written = {}
+    keep = A.materialise
+    monkeypatch.setattr(A, "materialise", lambda df, label: written.setdefault(label, []).append(df) or keep(df, label))
+    places = spark.range(60).select(F.lit("URY").alias("pais_codigo"), F.lit(1).alias("anio"), F.col("id").alias("ubicacion_id"),
+        (F.col("id") % 7 - 34.0).alias("latitud"), (F.col("id") / 9 - 58.0).alias("longitud"))
+    points = places.select("pais_codigo", "anio", F.col("ubicacion_id").alias("_point"),
+        (F.col("latitud") + 0.01).alias("_plat"), (F.col("longitud") + 0.01).alias("_plon"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        near = A.nearest_points(places, points, ["anio"], 100.0, [F.col("_point")], dense=1, broadcast_bytes=0)
+        plans = [plan(df) for df in written["level"]]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(written) == {"places", "level"}
+    assert all(p.count("Exchange hashpartitioning") == 2 for p in plans)
+    assert sorted(r.ubicacion_id for r in near.collect()) == list(range(60))
