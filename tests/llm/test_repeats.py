@@ -1,7 +1,9 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
+from emberlake.llm import repeats
 from emberlake.llm.repeats import merge_spans, remove_repeats
 
 
@@ -92,3 +94,19 @@ def test_complementary_words_are_not_repeats(spark):
     other = word.translate(str.maketrans("ab", "ba"))
     check(spark, [(1, word[:1024]), (2, other[:1024])], 1024, 8)
     check(spark, [(1, "x" + word), (2, "y" + other), (3, word[512:1600])], 1024, 128)
+
+
+def test_steps_are_gone_before_windows_are_listed(spark, monkeypatch):
+    places, left = {}, []
+    keep = repeats.staged
+
+    def staged(df, label):
+        if label == "hashes":
+            left.extend(name for name, place in places.items() if Path(place.removeprefix("file:")).exists())
+        found = keep(df, label)
+        places[label] = found._place
+        return found
+
+    monkeypatch.setattr(repeats, "staged", staged)
+    check(spark, [(1, "abcdefgh" * 9), (2, "xy" + "abcdefgh" * 8), (3, None)], 40, 16)
+    assert sorted(left) == ["wanted", "whole"]
