@@ -1,9 +1,12 @@
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from emberlake.operators import associate as A
 from emberlake.operators import star
 from emberlake.plans.pipeline import RunOptions, Warehouse
 from emberlake.sources.readers import MissingSource
+from emberlake.sources.tables import Tables
 from emberlake.streaming import incremental
 
 import pytest
@@ -193,3 +196,38 @@ def test_smoke_and_pending_promotion_are_separate(spark, tmp_path):
     house.load("CHIRPS", rain("2024-01-16"), RunOptions(promote=False))
     house.promote_pending("CHIRPS")
     assert [str(r.fecha) for r in house.tables.read("dim_precipitacion").collect()] == ["2024-01-16"]
+
+
+def test_rows_are_written_once_on_their_way_into_a_table(spark, tmp_path, monkeypatch):
+    """A first load stores no flagged copy of its batch, and promoted files are the staged ones."""
+    staged, keep = {}, Tables.stage
+
+    def stage(tables, df, name, *by):
+        found = keep(tables, df, name, *by)
+        staged.setdefault(name, set()).update(p.name for p in Path(found._place).rglob("*.parquet"))
+        return found
+
+    monkeypatch.setattr(Tables, "stage", stage)
+    house = Warehouse(spark, str(tmp_path))
+    house.load("FIRMS", spark.createDataFrame(DETECTIONS, DET))
+    assert "flagged" not in staged
+    for name in ("stg_firms", "fact_incendio", "dim_ubicacion", "mv_incendios_pais_periodo"):
+        assert {p.name for p in (tmp_path / name).rglob("*.parquet")} <= staged[name], name
+    house.load("FIRMS", spark.createDataFrame([("2024-02-01", 200, -33.6, -56.5, "URY", 1.0, 70, 9)], DET))
+    assert "flagged" in staged and house.tables.read("fact_incendio").count() == 3
+    assert not list((tmp_path / "_work").rglob("*.parquet"))
+
+
+def test_putting_partitions_into_place_can_be_repeated(spark, tmp_path, monkeypatch):
+    tables = Tables(spark, str(tmp_path))
+    old = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "p string, v int")
+    tables.replace_partitions(old, "t", ["p"])
+    place = tables.stage(spark.createDataFrame([("a", 10), ("b", 20)], "p string, v int"), "t", ["p"])._place
+    with monkeypatch.context() as patch:
+        parts = Tables._partitions
+        patch.setattr(Tables, "_partitions", lambda *a: [*sorted(parts(*a))[:1], "p=lost"])
+        with pytest.raises(Exception):
+            tables.overwrite_partitions(place, "t", ["p"])
+    tables.overwrite_partitions(place, "t", ["p"])
+    assert {r.p: r.v for r in tables.read("t").collect()} == {"a": 10, "b": 20, "c": 3}
+    assert not tables.holds(place)
