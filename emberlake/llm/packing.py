@@ -30,7 +30,8 @@ from emberlake.llm.common import staged
 CAPACITY = 2048
 BLOCK = 40_000  # pieces packed together by one task
 ROUNDS = 3
-CACHED = 400_000  # distinct words a worker remembers, twice
+CACHED = 700_000  # distinct words a worker remembers, twice
+TEXTS = 1_000  # texts whose words are looked up together
 
 _words: dict = {}
 
@@ -61,12 +62,11 @@ class _Words:
         rows = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
         recent, older = self.recent, self.older
         plain, fresh = {}, {}
-        for word in set().union(*rows):
-            if word in recent:
-                continue
-            if (found := older.get(word)) is not None:
-                recent[word] = found
-                continue
+        unseen = set().union(*rows).difference(recent)
+        unknown = unseen.difference(older)
+        for word in unseen.difference(unknown):
+            recent[word] = older[word]
+        for word in unknown:
             # Plain words skip the call; they have no mark and no case worth keeping.
             core, mark = plain[word] = (word.lower(), "") if word.isalpha() and word.isascii() else _plain(word)
             if core in recent or core in fresh:
@@ -118,8 +118,8 @@ def token_pieces(
         words = _words_of(tokenizer)
         uid = TaskContext.get().partitionId() << 33
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(at, TEXTS)
                 names, texts = part.column(0), part.column(1).to_pylist()
                 rows, numbers, starts, lengths, sums, kept = [], [], [], [], [], []
                 for i, found in enumerate(words.ids([t or "" for t in texts])):

@@ -61,3 +61,15 @@ def test_local_search_beats_best_fit(seed):
     assert all(lengths[b].sum() <= 1000 for b in better)
     assert len(better) <= len(bins)
     assert sum(int(lengths[b].sum()) ** 2 for b in better) >= sum(int(lengths[b].sum()) ** 2 for b in bins)
+
+
+def test_words_come_back_from_the_older_half(monkeypatch):
+    """However often the remembered words are turned over, the ids are the tokenizer's."""
+    from emberlake.llm import packing
+
+    monkeypatch.setattr(packing, "CACHED", 3)
+    words, tokenizer = packing._Words(PATH), Tokenizer.from_file(PATH)
+    batches = [["one two"], ["Two, three one."], ["four five six"], ["two one", "SIX, seven"], ["one. two"]]
+    for texts in batches:
+        want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+        assert words.ids(texts) == want
