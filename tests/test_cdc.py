@@ -1,8 +1,10 @@
+import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from emberlake.catalog.domain import Domain
 from emberlake.operators import cdc as C
 
 SCHEMA = "natural_key string, record_hash string, _seq long"
@@ -62,3 +64,13 @@ def test_counters_and_events(rows):
 def test_keep_one_trims_before_the_shuffle(rows):
     plan = C.keep_one(rows(SCHEMA, ("A", "h", 1)), ["natural_key"], [F.col("_seq")])._jdf.queryExecution().toString()
     assert plan.count("WindowGroupLimit") >= 2
+
+
+def test_hashes_are_made_after_the_shuffle(spark, rows):
+    found = C.keep_newest(
+        rows("natural_key string, v string, _seq long", ("A", "x", 1), ("A", "y", 2), ("A", "z", 2), ("A", "z", 2), ("B", None, None)),
+        "natural_key", "_seq", F.sha2(F.coalesce("v", F.lit("")), 256))
+    assert {(r.natural_key, r.v) for r in found.collect()} == {("A", max("yz", key=lambda v: hashlib.sha256(v.encode()).hexdigest())), ("B", None)}
+    staged = Domain(spark, "/root/testdata/sf0.001")._staged("FIRMS")
+    above, _, below = staged._jdf.queryExecution().optimizedPlan().toString().partition("rank(")
+    assert "sha2(" in above and "sha2(" not in below
