@@ -338,7 +338,7 @@ class _Join:
             links.join(parts.select(F.col("uid").alias("a"), F.col("part").alias("left")), "a")
             .join(parts.select(F.col("uid").alias("b"), F.col("part").alias("right")), "b")
             .select(F.col("left").alias("a"), F.col("right").alias("b")).distinct())
-        change = components(staged(bridges, "bridges")).select(F.col("node").alias("part"), F.col("component").alias("joined"))
+        change = components(bridges).select(F.col("node").alias("part"), F.col("component").alias("joined"))
         return staged(parts.join(change, "part", "left").select("uid", F.coalesce("joined", "part").alias("part")), "parts")
 
 

@@ -1,6 +1,7 @@
 import random
 import re
 
+from emberlake.llm.common import recorded
 from emberlake.llm.components import components
 from emberlake.llm.jaccard import one_of_each, similar_components
 
@@ -104,6 +105,15 @@ def test_long_chain_is_one_component(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
 
 
+def test_stars_take_no_turn(spark):
+    """A turn more would only repeat its plans, which the driver holds."""
+    edges = spark.createDataFrame([(i, 0) for i in range(1, 40)] + [(100, 99), (101, 99)], "a bigint, b bigint")
+    tables = []
+    with recorded(tables):
+        got = {r["node"]: r["component"] for r in components(edges).collect()}
+    assert got == {**{i: 0 for i in range(40)}, 99: 99, 100: 99, 101: 99} and len(tables) == 1
+
+
 def test_words_of_complementary_patterns_differ(spark):
     """Polynomial hashes modulo 2^64 cannot tell these words apart, whatever their base."""
     word = "a"
