@@ -114,3 +114,24 @@ def test_strict_detections(rows):
         ("2017-01-01", 10, -30.0, -51.0, 1.0, 50, "D", "BRA", 3), ("2024-01-01", 10, -30.0, -51.0, None, 50, "D", "BRA", 4))
     kinds = {r._seq: r.clase for r in N.strict_detections(frame).collect()}
     assert kinds == {1: None, 2: N.OUTSIDE, 3: N.INVALID, 4: N.INVALID}
+
+
+@pytest.mark.parametrize("sources", [("FIRMS",), ("METEO", "INUMET"), ("CHIRPS",), ("MODIS",), ("CAMS",)])
+def test_filters_read_the_verdict_instead_of_carrying_it(rows, sources):
+    raw = rows(
+        "time string, acq_date string, anio int, pais string, ubicacion string, departamento string, lat string, lon string, "
+        "latitude string, longitude string, temperature_2m string, relative_humidity_2m string, wind_speed_10m string, "
+        "surface_pressure string, rain string, pm10 string, _seq long",
+        *[("2024-01-01 00:00", "2024-01-01", 2020, "URY", "a", "d", "-34", "-56", "-34", "-56", "1", h, "1", "1000", "0", "1", i)
+          for i, h in enumerate(("50", "101"))],
+    )
+    taken = [N.accepted_rows(N.judge(raw, s), s).drop("raw_payload", "record_hash") for s in sources]
+    both = taken[0] if len(taken) == 1 else taken[0].unionByName(taken[1])
+    plan = both._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter " in line]
+    assert filters and max(map(len, filters)) < 200
+    assert len(plan) < 12_000 * len(sources)
+    kept = N.accepted_rows(N.judge(raw, "METEO"), "METEO")
+    if "METEO" in sources:
+        assert [r["_seq"] for r in kept.collect()] == [0]
+        assert [r["motivo"] for r in N.rejected_rows(N.judge(raw, "METEO"), "METEO").collect()] == ["METEO: humedad fuera de rango"]
