@@ -45,6 +45,26 @@ def test_slices_of_a_hot_key_equal_the_sequential_loop(spark, span):
     assert kinds(events) == sorted(expected)
 
 
+def test_keys_of_few_rows_are_shuffled_once(rows):
+    batch = rows(SCHEMA, *[(f"k{i % 90}", f"h{i}", i) for i in range(100)])
+    plan = C.classify(batch, rows(STORED))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(natural_key") == 2  # of the batch and of staging
+
+
+@pytest.mark.parametrize("listed", [0, 1_000])
+def test_crowded_and_other_keys_in_one_batch(spark, monkeypatch, listed):
+    monkeypatch.setattr(C, "LISTED", listed)
+    data = [("hot" if i % 3 else f"k{i % 12}", f"h{i % 2}", i) for i in range(300)]
+    expected, state = [], {"k0": "h0"}
+    for key, value, seq in data:
+        before, state[key] = state.get(key), value
+        kind = "alta" if before is None else "sin_cambio" if before == value else "modificacion"
+        expected.append((key, seq, kind, before if kind == "modificacion" else None))
+    events = C.classify(spark.createDataFrame(data, SCHEMA), spark.createDataFrame([("k0", "h0")], STORED), span=50)
+    assert "_slice" in events._jdf.queryExecution().analyzed().toString()
+    assert kinds(events) == sorted(expected)
+
+
 def test_content_stored_under_another_key_is_not_inserted(rows):
     stored = rows(STORED, ("OLD", "h1"))
     batch = rows(SCHEMA, ("NEW", "h1", 1), ("NEW", "h2", 2), ("OLD", "h1", 3))

@@ -7,6 +7,8 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from emberlake import session
+from emberlake.catalog import domain as domain_module
+from emberlake.catalog import queries
 from emberlake.catalog.domain import Domain
 from emberlake.operators import associate as A
 
@@ -37,6 +39,34 @@ def test_more_rows_are_dealt_to_more_tasks(spark, monkeypatch):
     assert dealt.exceptAll(orders).isEmpty() and orders.exceptAll(dealt).isEmpty()
 
 
+def test_a_file_that_is_read_by_enough_tasks_is_not_dealt(spark, tmp_path):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    pq.write_table(pa.table({"k": list(range(100_000))}), tmp_path / "one.parquet", row_group_size=2_000, use_dictionary=False)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "40k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        dealt = session.spread(spark.read.parquet(f"{tmp_path}/one.parquet"), "k")
+        assert "Exchange" not in plan(dealt)
+        assert dealt.agg(F.sum("k")).first()[0] == sum(range(100_000))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert "Exchange" in plan(session.spread(spark.read.parquet(f"{tmp_path}/one.parquet"), "k"))
+
+
+def test_rows_read_once_are_not_stored(spark, monkeypatch):
+    monkeypatch.setattr(domain_module, "_open", {})
+    domain = domain_module.domain(spark, FOLDER)
+    spark.range(1).write.parquet(f"{domain.scratch}/marker")
+    for name in ("c04_in_batch_repeats", "c08_merge_first", "d10_fact_conflict"):
+        found = queries()[name](spark, FOLDER)
+        assert found.count()
+        assert stored(domain) == {"marker"}
+    assert plan(found).count("Exchange hashpartitioning(natural_key") == 2  # either side, none for their join
+
+
 def test_staging_stores_no_verdict_and_fact_no_second_copy(spark):
     domain = Domain(spark, FOLDER)
     fact = domain.fact.select("natural_key", "record_hash").collect()
